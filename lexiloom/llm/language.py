@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import hash_sample
-from .article import LineModel, body_mask, fit_line_model, mended_lines
+from .article import LineModel, body_mask, fit_line_model, fold, mended_lines
 
 FIT_DOCS = 3000
 FIT_SENTENCES = 500
 TERMS = 1024
-CLUSTERS = 3
+CLUSTERS = 4
 #: How much nearer another language must be before a sentence starts a new segment.
 MARGIN = 0.03
 CHUNK = 512
@@ -107,11 +107,13 @@ def language_names(langs: DataFrame) -> dict[str, str]:
 
 
 def fit_language_model(labelled: list[tuple[str, str]]) -> LanguageModel:
-    """labelled: (code, sentence)."""
+    """labelled: (code, sentence). Every third sentence also counts without its accents, as some texts lack theirs."""
     by: dict[str, list[str]] = defaultdict(list)
     for code, s in labelled:
         if len(by[code]) < FIT_SENTENCES:
             by[code].append(s)
+            if len(by[code]) % 3 == 0 and not s.isascii():
+                by[code].append(fold(s))
     langs = sorted(by)
     share, df, total = {}, Counter(), 0
     for code in langs:
