@@ -66,7 +66,7 @@ def logdf_weights(s: SparkSession, d: str) -> DataFrame:
     return V.weights(_occ(s, d), _n(s, d), kind="logdf").withColumn("w", r6("w"))
 
 
-_CUT = f"WITH {_TF}, v AS (SELECT doc_id, term, tf * ln(n / df) AS w FROM tf JOIN voc USING (term), n WHERE ln(n / df) != 0), x AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY w, term ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY doc_id) AS total FROM v), y AS (SELECT *, min(CASE WHEN run >= total * 0.2 - 1e-12 THEN w END) OVER (PARTITION BY doc_id) AS at FROM x), c AS (SELECT doc_id, term, w FROM y WHERE w >= at)"
+_CUT = f"WITH {_TF}, v AS (SELECT doc_id, term, tf * ln(n / df) AS w FROM tf JOIN voc USING (term), n WHERE ln(n / df) != 0), x AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY w, term ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY doc_id) AS total FROM v), y AS (SELECT *, min(CASE WHEN run >= total * 0.2 - 1e-12 THEN w END) OVER (PARTITION BY doc_id) AS lim FROM x), c AS (SELECT doc_id, term, w FROM y WHERE w >= lim)"
 
 
 @query(f"{_CUT} SELECT doc_id, count(*) AS n_terms, round(sum(w), 4) AS total FROM c GROUP BY doc_id")
@@ -147,12 +147,12 @@ def vocabulary_richness(s: SparkSession, d: str) -> DataFrame:
     return W.richness(_occ(s, d)).select("doc_id", "n", "v", r6("ttr").alias("ttr"), r6("hl").alias("hl"), r6("honore", 4).alias("honore"), r6("brunet").alias("brunet"))
 
 
-@query("WITH t AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w, greatest(len(regexp_extract_all(text, '[.!?]+')), 1) AS s FROM documents WHERE text IS NOT NULL), x AS (SELECT doc_id, len(w)::double AS n, s, list_sum([len(y) for y in w])::double AS chars, list_sum([greatest(len(regexp_extract_all(lower(y), '[aeiouy]+')), 1) for y in w])::double AS syl FROM t WHERE len(w) > 0) SELECT doc_id, round(0.5::double * (n / s) + 4.71::double * (chars / n) - 21.43::double, 4) AS ari, round(206.835::double - 1.015::double * (n / s) - 84.6::double * (syl / n), 4) AS flesch FROM x")
+@query("WITH t AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w, greatest(len(regexp_extract_all(text, '[.!?]+')), 1) AS s FROM documents WHERE text IS NOT NULL), x AS (SELECT doc_id, len(w)::double AS n, s, list_sum([len(y) for y in w])::double AS chars, list_sum([greatest(len(regexp_extract_all(lower(y), '[aeiouy]+')), 1) for y in w])::double AS syl FROM t WHERE len(w) > 0) SELECT doc_id, round(0.5::double * (n / s) + 4.71::double * (chars / n) - 21.43::double, 3) AS ari, round(206.835::double - 1.015::double * (n / s) - 84.6::double * (syl / n), 3) AS flesch FROM x")
 def readability_scores(s: SparkSession, d: str) -> DataFrame:
-    return W.readability(table(s, d, "documents"), T.simple_tokens(F.col("text"))).select("doc_id", r6("ari", 4).alias("ari"), r6("flesch", 4).alias("flesch"))
+    return W.readability(table(s, d, "documents"), T.simple_tokens(F.col("text"))).select("doc_id", r6("ari", 3).alias("ari"), r6("flesch", 3).alias("flesch"))
 
 
-@query("SELECT source, count(*) AS n_docs, sum(len(text)) AS chars, round(avg(len(text)), 4) AS mean_chars FROM documents GROUP BY source")
+@query("SELECT source, count(*) AS n_docs, CAST(sum(len(text)) AS BIGINT) AS chars, round(avg(len(text)), 4) AS mean_chars FROM documents GROUP BY source")
 def source_sizes(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("chars"), r6(F.avg(F.length("text")), 4).alias("mean_chars"))
 
@@ -173,9 +173,9 @@ def cosine_top10(s: SparkSession, d: str) -> DataFrame:
     return M.top_k(_pairs(s, d), 10).select("q_id", "id", r6("score").alias("score"), "rank")
 
 
-@query(f"SELECT q_id, count(*) AS n_links, round(max(score), 6) AS best FROM ({_DOTS}) WHERE score > 0.5 GROUP BY q_id")
+@query(f"SELECT q_id, count(*) AS n_links, round(max(score), 6) AS best FROM ({_DOTS}) WHERE score > 0.25 GROUP BY q_id")
 def cosine_links(s: SparkSession, d: str) -> DataFrame:
-    return _pairs(s, d).where("score > 0.5").groupBy("q_id").agg(F.count("*").alias("n_links"), r6(F.max("score")).alias("best"))
+    return _pairs(s, d).where("score > 0.25").groupBy("q_id").agg(F.count("*").alias("n_links"), r6(F.max("score")).alias("best"))
 
 
 _KNN = f"WITH p AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, id) AS rank FROM ({_DOTS})), v AS (SELECT q_id, label, sum(score) AS s FROM p WHERE rank <= 10 GROUP BY q_id, label), b AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(s, 9) DESC, label) AS r FROM v)"
@@ -260,7 +260,7 @@ def kmeans_fixed(s: SparkSession, d: str) -> DataFrame:
 
 
 # ---- documents, annotations, addresses
-@query("SELECT a.type AS type, count(*) AS n, sum(len(substr(text, a.spanstart + 1, a.spanend - a.spanstart + 1))) AS chars FROM (SELECT text, unnest(annotations) AS a FROM news_documents WHERE text IS NOT NULL) GROUP BY 1")
+@query("SELECT a.type AS type, count(*) AS n, CAST(sum(len(substr(text, a.spanstart + 1, a.spanend - a.spanstart + 1))) AS BIGINT) AS chars FROM (SELECT text, unnest(annotations) AS a FROM news_documents WHERE text IS NOT NULL) GROUP BY 1")
 def annotation_types(s: SparkSession, d: str) -> DataFrame:
     a = D.select_type(D.annotations_of(table(s, d, "news_documents").where("text is not null")), "")
     return a.groupBy("type").agg(F.count("*").alias("n"), F.sum(F.length("block")).alias("chars"))
