@@ -11,11 +11,14 @@ CUT_OFF = 500
 def profile_grams(text: Column, n_max: int = 2) -> Column:
     """N-grams of the upper-case alphabetic tokens of a text; from n = 2 on tokens are padded with _ on both sides."""
     toks = F.regexp_extract_all(F.upper(F.coalesce(text, F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1))
-    out = F.array().cast("array<string>")
-    for n in range(1, n_max + 1):
-        pad = (lambda t: t) if n == 1 else (lambda t, n=n: F.concat(F.lit("_"), t, F.lit("_" * (n - 1))))
-        slide = lambda t, n=n, pad=pad: F.transform(F.sequence(F.lit(1), F.length(pad(t)) - n + 1), lambda i: F.substring(pad(t), i, F.lit(n)))
-        out = F.concat(out, F.flatten(F.transform(toks, slide)))
+    def slid(n: int) -> Column:
+        def one(t: Column) -> Column:
+            w = t if n == 1 else F.concat(F.lit("_"), t, F.lit("_" * (n - 1)))
+            return F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, F.lit(n)))
+
+        return F.flatten(F.transform(toks, one))
+
+    out = F.concat(*[slid(n) for n in range(1, n_max + 1)])
     return out
 
 

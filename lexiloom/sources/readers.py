@@ -9,7 +9,7 @@ CORPUS_SCHEMA = "Name string, Text string, Annotations struct<Annotation: array<
 
 
 def _features(c):
-    return F.map_from_entries(F.coalesce(F.transform(F.filter(c["Feature"], lambda f: f["Name"].isNotNull()), lambda f: F.struct(f["Name"], f["Value"])), F.array().cast("array<struct<a:string,b:string>>")))
+    return F.map_from_entries(F.coalesce(F.transform(F.filter(c["Feature"], lambda f: f["Name"].isNotNull()), lambda f: F.struct(f["Name"].alias("a"), f["Value"].alias("b"))), F.array().cast("array<struct<a:string,b:string>>")))
 
 
 def read_corpus_xml(spark: SparkSession, path: str) -> DataFrame:
