@@ -147,6 +147,7 @@ def test_batches_give_what_one_run_gives(spark, tmp_path):
 
 def test_hot_segment_goes_through_hubs(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SMALL", 3)
+    monkeypatch.setattr(repeats, "FAMILY", 4)
     rng = random.Random(2)
     base = [f"t{i}" for i in range(60)]
     texts = []
