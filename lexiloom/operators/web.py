@@ -54,3 +54,34 @@ def readability(docs: DataFrame, words: Column, text: str = "text", row: str = "
     d = docs.where(F.col(text).isNotNull()).select(row, text, words.alias("w")).where("size(w) > 0")
     rw, rc, rs = n / s, chars / n, syl / n
     return d.select(row, (0.5 * rw + 4.71 * rc - 21.43).alias("ari"), (206.835 - 1.015 * rw - 84.6 * rs).alias("flesch"))
+
+
+def tree_votes(docs: DataFrame, blocks: DataFrame, least: int = 5) -> DataFrame:
+    """docid, hash, boilerplate: whether the blocks of a page recur along its address tree.
+
+    docs: docid, guid, url (first revisions, one row per url); blocks: guid, hash. Every node (host and path prefix) with at least
+    `least` documents votes boilerplate if more than one in a hundred of its documents, and one more, have the block; a tie is
+    boilerplate. Nodes with fewer documents don't vote unless none has enough: then the root alone does.
+    """
+    p = url_parts(F.col("url"))
+    segs = F.filter(F.split(p["path"], "/"), lambda s: s != "")
+    keep = F.slice(segs, F.lit(1), F.greatest(F.size(segs) - F.when(p["query"] == "", 1).otherwise(0), F.lit(0)))
+    pre = F.transform(F.sequence(F.lit(0), F.size(keep)), lambda i: F.concat(F.lit("/"), F.array_join(F.slice(keep, F.lit(1), i), "/")))
+    d = docs.where("url is not null").select("docid", "guid", p["host"].alias("host"), F.explode(pre).alias("node"))
+    n = d.groupBy("host", "node").agg(F.count("*").alias("n"))
+    b = blocks.select("guid", "hash").distinct()
+    x = d.join(b, "guid")
+    c = x.groupBy("host", "node", "hash").agg(F.count("*").alias("c"))
+    v = x.join(n, ["host", "node"]).join(c, ["host", "node", "hash"])
+    votes = v.where((F.col("n") >= least) | (F.col("node") == "/")).withColumn("yes", (F.col("c") > F.floor(F.col("n") / 100) + 1).cast("int"))
+    g = votes.groupBy("docid", "hash").agg(F.sum("yes").alias("y"), F.count("*").alias("k"))
+    return g.select("docid", "hash", (2 * F.col("y") >= F.col("k")).alias("boilerplate"))
+
+
+def group_predictions(pred: DataFrame, group: str, how: str = "sum") -> DataFrame:
+    """group, label, score: predictions (group, row, label, score) of many examples combined by sum, max or vote of the best label."""
+    if how == "vote":
+        top = pred.groupBy(group, "row").agg(F.max_by("label", F.struct("score", "label")).alias("label"))
+        return top.groupBy(group, "label").agg(F.count("*").cast("double").alias("score"))
+    f = F.sum if how == "sum" else F.max
+    return pred.groupBy(group, "label").agg(f("score").alias("score"))

@@ -473,3 +473,41 @@ def _bag(name: str, op: str) -> None:
 _bag("multiset_union", "UNION ALL")
 _bag("multiset_intersection", "INTERSECT ALL")
 _bag("multiset_difference", "EXCEPT ALL")
+
+
+# ---- page trees, languages by profile, stems
+_PRE = "WITH f AS (SELECT docid, guid, urlkey AS url FROM (SELECT DISTINCT docid, guid, urlkey, arrived FROM written_docs WHERE urlkey IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY urlkey ORDER BY arrived, docid) = 1), s AS (SELECT docid, guid, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host, list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x != '') AS segs, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM f), k AS (SELECT docid, guid, host, segs[1:greatest(len(segs) - CASE WHEN q = '' THEN 1 ELSE 0 END, 0)] AS keep FROM s), d AS (SELECT docid, guid, host, unnest(['/' || array_to_string(keep[1:i], '/') for i in range(0, len(keep) + 1)]) AS node FROM k)"
+
+
+@query(
+    f"{_PRE}, n AS (SELECT host, node, count(*) AS n FROM d GROUP BY ALL), b AS (SELECT DISTINCT docguid AS guid, unnest(hashcodes) AS hash FROM text_blocks), x AS (SELECT d.*, b.hash FROM d JOIN (SELECT DISTINCT * FROM b) b USING (guid)), c AS (SELECT host, node, hash, count(*) AS c FROM x GROUP BY ALL), v AS (SELECT x.docid, x.hash, CASE WHEN c.c > n.n // 100 + 1 THEN 1 ELSE 0 END AS yes FROM x JOIN n USING (host, node) JOIN c USING (host, node, hash) WHERE n.n >= 5 OR x.node = '/') SELECT docid, hash, 2 * sum(yes) >= count(*) AS boilerplate FROM v GROUP BY docid, hash"
+)
+def url_tree_labels(s: SparkSession, d: str) -> DataFrame:
+    w = table(s, d, "written_docs").where("urlkey is not null").select("docid", "guid", F.col("urlkey").alias("url"), "arrived")
+    first = w.groupBy("url").agg(F.min(F.struct("arrived", "docid", "guid")).alias("f")).select("f.docid", "f.guid", "url")
+    b = table(s, d, "text_blocks").select(F.col("docguid").alias("guid"), F.explode("hashcodes").alias("hash"))
+    return W.tree_votes(first, b)
+
+
+@query()
+def language_profiles(s: SparkSession, d: str) -> DataFrame:
+    from ..operators import langid
+
+    docs = table(s, d, "documents").where("lang is null or length(lang) = 2")
+    return langid.profiles(docs.withColumn("lang", F.lower("lang")), "lang", "text")
+
+
+@query()
+def language_by_rank(s: SparkSession, d: str) -> DataFrame:
+    from ..operators import langid
+
+    docs = table(s, d, "documents")
+    known = docs.where("length(lang) = 2").withColumn("lang", F.lower("lang"))
+    return langid.detect(docs.select("doc_id", "text"), langid.profiles(known, "lang", "text"), "doc_id", "text")
+
+
+@query()
+def stem_frequencies(s: SparkSession, d: str) -> DataFrame:
+    from ..functions.stemming import with_stems
+
+    return with_stems(V.frequencies(_occ(s, d))).groupBy("stem").agg(F.sum("freq").alias("freq"), F.count("*").alias("forms"))

@@ -61,3 +61,30 @@ def test_block_table(spark):
     d = spark.createDataFrame([(1, "<h1>Head line</h1><p>One two. Three four.</p>"), (2, None)], "id long, html string")
     x = pages.block_features(pages.text_blocks(d, "id", "html"), "id").orderBy("block_no").collect()
     assert [(r.text, r.start, r.in_h, r.in_p) for r in x] == [("Head line", 0, True, False), ("One two. Three four.", 11, False, True)]
+
+
+def test_stems_and_optimizer(spark):
+    import numpy as np
+
+    from lexiloom.functions.stemming import stem, with_stems
+    from lexiloom.operators.optimize import differential_evolution
+
+    want = {"caresses": "caress", "ponies": "poni", "agreed": "agre", "hopping": "hop", "filing": "file", "happy": "happi", "relational": "relat", "formaliti": "formal", "triplicate": "triplic", "goodness": "good", "adjustment": "adjust", "adoption": "adopt", "controll": "control", "rate": "rate", "is": "is"}
+    assert {w: stem(w) for w in want} == want
+    d = with_stems(spark.createDataFrame([("hopping",), ("hopping",), (None,)], "term string"))
+    assert sorted(r.stem or "" for r in d.collect()) == ["", "hop", "hop"]
+    x, v = differential_evolution(lambda p: -float(((p - 2) ** 2).sum()), np.zeros(2), patience=20)
+    assert v > -1e-3
+    assert abs(x[0] - 2) < 0.1
+
+
+def test_tree_votes(spark):
+    from lexiloom.operators.web import group_predictions, tree_votes
+
+    docs = spark.createDataFrame([(i, f"g{i}", f"http://h.example:80/a/t{i}") for i in range(8)] + [(9, "g9", None)], "docid long, guid string, url string")
+    blocks = spark.createDataFrame([(f"g{i}", 1) for i in range(8)] + [(f"g{i}", 10 + i) for i in range(8)], "guid string, hash long")
+    got = {(r.docid, r.hash): r.boilerplate for r in tree_votes(docs, blocks).collect()}
+    assert all(got[i, 1] and not got[i, 10 + i] for i in range(8))
+    p = spark.createDataFrame([("g", 1, "a", 0.6), ("g", 1, "b", 0.4), ("g", 2, "b", 0.9), ("g", 3, "a", 0.7)], "grp string, row long, label string, score double")
+    assert {r.label: r.score for r in group_predictions(p, "grp", "vote").collect()} == {"a": 2.0, "b": 1.0}
+    assert {r.label: round(r.score, 2) for r in group_predictions(p, "grp").collect()} == {"a": 1.3, "b": 1.3}
