@@ -44,16 +44,18 @@ def block_pieces(counts: DataFrame, block: int = BLOCK) -> DataFrame:
     return d.select("source", "block_no", "doc_id", start.cast("long").alias("tok_from"), end.cast("long").alias("tok_to"))
 
 
-def quotas(supply: dict[str, tuple[int, int]], targets: dict[str, tuple[float, int]], total_blocks: int | None = None) -> dict[str, int]:
-    """Blocks per source: supply has (tokens, blocks), targets (share, max_repeats). Sources without tokens get 0."""
-    live = {s: t for s, t in targets.items() if supply.get(s, (0, 0))[1] > 0 and t[0] > 0 and t[1] > 0}
-    mass = sum(t[0] for t in live.values())
+def quotas(supply: dict[str, tuple[int, int]], targets: dict[str, tuple[float, int]], total_tokens: int | None = None) -> dict[str, int]:
+    """Blocks per source: supply has (tokens, blocks), targets (share, max_repeats). Sources without tokens get 0.
+
+    A source's blocks count with their mean size, as its last one is rarely full.
+    """
+    live = {s: t for s, t in targets.items() if supply.get(s, (0, 0))[0] > 0 and t[0] > 0 and t[1] > 0}
     if not live:
         return dict.fromkeys(targets, 0)
-    most = min(supply[s][1] * t[1] / (t[0] / mass) for s, t in live.items())
-    n = int(most if total_blocks is None else min(most, total_blocks))
-    out = dict.fromkeys(targets, 0) | {s: min(supply[s][1] * t[1], round(n * t[0] / mass)) for s, t in live.items()}
-    return out
+    mass = sum(t[0] for t in live.values())
+    most = min(supply[s][0] * t[1] / (t[0] / mass) for s, t in live.items())
+    n = most if total_tokens is None else min(most, total_tokens)
+    return dict.fromkeys(targets, 0) | {s: min(supply[s][1] * t[1], round(n * t[0] / mass * supply[s][1] / supply[s][0])) for s, t in live.items()}
 
 
 def draw_shards(quota: dict[str, int], slots: int = SLOTS, seed: int = SEED) -> list[tuple[int, str, int, int]]:
@@ -110,14 +112,14 @@ def permute(j: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def mixture(docs: DataFrame, source_targets: DataFrame, total_blocks: int | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
+def mixture(docs: DataFrame, source_targets: DataFrame, total_tokens: int | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
     """shard, slot, source, pass_no, block_no, doc_id, tok_from, tok_to: the mixed corpus as pieces of documents in slots."""
     spark = docs.sparkSession
     targets = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in source_targets.where("source is not null").collect()}  # a table of weights: as many rows as sources have targets
     named = docs.where(F.col("source").isin(list(targets)))
     counts = token_counts(named).persist()
     supply = {r["source"]: (r["t"], -(-r["t"] // block)) for r in counts.groupBy("source").agg(F.sum("n_tokens").alias("t")).where("t > 0").collect()}
-    rows = draw_shards(quotas(supply, targets, total_blocks), slots)
+    rows = draw_shards(quotas(supply, targets, total_tokens), slots)
     number = {s: i for i, s in enumerate(sorted(targets))}
     blocks = {s: b for s, (_, b) in supply.items()}
     draws = spark.createDataFrame(rows or [(0, "", 0, 0)], "shard int, source string, start long, n long").where("n > 0").repartition(min(64, max(1, len(rows) // 64)))
@@ -136,12 +138,12 @@ def mixture(docs: DataFrame, source_targets: DataFrame, total_blocks: int | None
 
     drawn = draws.mapInArrow(expand, "shard int, source string, j long, pass_no int, block_no long")
     drawn = drawn.withColumn("slot", F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("source", "j", F.lit(SEED)))) - 1)
-    return drawn.join(block_pieces(counts, block), ["source", "block_no"]).select("shard", "slot", "source", "pass_no", "block_no", "doc_id", "tok_from", "tok_to")
+    return drawn.hint("merge").join(block_pieces(counts, block), ["source", "block_no"]).select("shard", "slot", "source", "pass_no", "block_no", "doc_id", "tok_from", "tok_to")
 
 
-def share_report(docs: DataFrame, source_targets: DataFrame, total_blocks: int | None = None) -> DataFrame:
+def share_report(docs: DataFrame, source_targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """source, target_share, max_repeats, tokens, actual_share, passes: what a mixture reached for every target."""
-    m = mixture(docs, source_targets, total_blocks).groupBy("source").agg(F.sum(F.col("tok_to") - F.col("tok_from")).alias("tokens"), (F.max("pass_no") + 1).alias("passes"))
+    m = mixture(docs, source_targets, total_tokens).groupBy("source").agg(F.sum(F.col("tok_to") - F.col("tok_from")).alias("tokens"), (F.max("pass_no") + 1).alias("passes"))
     j = source_targets.select("source", "target_share", "max_repeats").join(m, "source", "left").fillna(0, ["tokens", "passes"])
     total = F.sum("tokens").over(Window.partitionBy(F.lit(0)))  # as many rows as targets
     return j.select("source", "target_share", "max_repeats", "tokens", F.round(F.when(total > 0, F.col("tokens") / total).otherwise(0.0), 6).alias("actual_share"), "passes")
