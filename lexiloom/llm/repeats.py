@@ -1,9 +1,10 @@
 """Records of new batches that repeat an accepted record: a segment index for edit distance over article words.
 
 An article becomes the string of its words (case, accents, punctuation and furniture ignored). Its telling words, those that few
-documents have, form a symbol string that is cut into a fixed number of segments; the index stores each segment with the string's length
-and the segment's position. A batch probes with the substrings of its own strings that may equal a segment of a string not longer
-than itself: by pigeonhole, fewer edits than segments leave one segment whole. Candidates are verified by the bit-parallel edit distance of
+documents have, form a symbol string that is cut into segments of about SEGMENT symbols at every length; the index stores each segment with
+the string's length and the segment's position. A batch probes with the substrings of its own strings that may equal a segment of a string
+not longer than itself: by pigeonhole, fewer edits of telling words than segments leave one segment whole. That covers edits that hit up to
+one telling word in SEGMENT; edits that fall mostly on telling words may exceed it (README). Candidates are verified by the bit-parallel edit distance of
 the whole articles. Accepted records append their segments; a batch never reads earlier texts except those of its candidates.
 
 find_repeats runs all batches of a corpus at once: the order of document ids alone decides which record is accepted, so the result is
@@ -31,6 +32,8 @@ from .article import _TOKEN, LineModel, body_mask, fit_line_model, fold, mended_
 #: Share of an article's words that may differ: about one in eight, with room for a line the body model mistakes.
 RATE = 0.16
 MIN_WORDS = 8
+#: Telling words of a segment.
+SEGMENT = 4
 #: Different texts that may share a segment before they are compared through a hub.
 SMALL = 16
 #: Minima of permuted symbol codes that split a hot segment, three at a time.
@@ -103,8 +106,8 @@ def begins(b: list[str], a: list[str], rate: float = RATE) -> bool:
 
 
 def n_segments(r: int) -> int:
-    """How many segments a symbol string of length r has."""
-    return min(16, max(4, r // 4)) if r >= 8 else 2
+    """How many segments a symbol string of length r has: as the allowed edits, they grow with it."""
+    return max(4, r // SEGMENT) if r >= 8 else 2
 
 
 def symbols(words: list[str], common: frozenset[str]) -> list[str]:

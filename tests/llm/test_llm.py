@@ -145,6 +145,16 @@ def test_batches_give_what_one_run_gives(spark, tmp_path):
     assert got == whole
 
 
+@pytest.mark.parametrize("n", [40, 320, 640, 1000, 2400])
+def test_scattered_edits_leave_a_segment_at_every_length(n):
+    s = repeats.Segmenter(frozenset())
+    word = lambda i: "word" + "".join(chr(97 + int(c)) for c in str(i))
+    a = [word(i) for i in range(n)]
+    b = [word(10_000 + i) if i % 8 == 5 else w for i, w in enumerate(a)]
+    assert repeats.agree(a, b)
+    assert {k for k, _ in s.segments(s.codes(a))} & {k for k, _ in s.probes(s.codes(b))}
+
+
 def test_hot_segment_goes_through_hubs(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SMALL", 3)
     monkeypatch.setattr(repeats, "FAMILY", 4)
