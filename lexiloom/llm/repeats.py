@@ -8,9 +8,8 @@ one telling word in SEGMENT; edits that fall mostly on telling words may exceed
 the whole articles. Accepted records append their segments; a batch never reads earlier texts except those of its candidates.
 
 find_repeats runs all batches of a corpus at once: the order of document ids alone decides which record is accepted, so the result is
-that of one batch after the other. Groups of exact copies stay one node. A segment that more than SMALL different texts share
-is compared with its earliest text first, then with the next one that those left over have, so no pairs within a hot group
-are made; members that match a group's hub are linked through it.
+that of one batch after the other. Groups of exact copies stay one node. All pairs of texts that share a segment are compared; the pairs
+of a hot segment are dealt to many tasks.
 
 Defined results: records without hash, address and article repeat nothing; articles under MIN_WORDS words repeat by hash only.
 """
@@ -34,11 +33,9 @@ RATE = 0.16
 MIN_WORDS = 8
 #: Telling words of a segment.
 SEGMENT = 4
-#: Different texts that may share a segment before they are compared through a hub.
+#: Texts of one address that are compared through first words.
 SMALL = 16
-#: Minima of permuted symbol codes that split a hot segment, three at a time.
-MINS = 8
-#: Texts that may share a segment and three minima before they are compared through a hub.
+#: Texts of a segment that one task compares.
 FAMILY = 64
 #: Ids (8 bytes each) that may be broadcast at once.
 BROADCAST_IDS = 1_000_000
@@ -158,13 +155,6 @@ class Segmenter:
         return [(int(h), i) for s in sorted(sizes) for i, h in enumerate(self.windows(c, s))]
 
 
-    def minima(self, c: np.ndarray) -> list[int]:
-        """The least permuted code of a string's symbols, for MINS permutations."""
-        with np.errstate(over="ignore"):
-            x = [(c ^ (c >> np.uint64(31))) * self.power[2 * j + 3] for j in range(MINS)]
-            return [signed(int((v ^ (v >> np.uint64(29))).min())) for v in x] if len(c) else []
-
-
 def signed(k: int) -> int:
     """An unsigned 64-bit number as a signed one."""
     return k - (1 << 64) if k >= 1 << 63 else k
@@ -199,11 +189,11 @@ def common_words(recs: DataFrame, fit_docs: int = FIT_DOCS, share: float = COMMO
     return frozenset(r["w"] for r in df.collect())
 
 
-_KEYS = "tkey long, first long, kind string, h long, pos int, r int, mins array<long>"
+_KEYS = "tkey long, first long, kind string, h long, pos int, r int"
 
 
 def segment_keys(texts: DataFrame, common: frozenset[str]) -> DataFrame:
-    """tkey, first (document id), kind (i: index, p: probe, m: minimum), h, pos, r of every text; texts: tkey, first, norm."""
+    """tkey, first (document id), kind (i: index, p: probe), h, pos, r of every text; texts: tkey, first, norm."""
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,16 +201,14 @@ def segment_keys(texts: DataFrame, common: frozenset[str]) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 b = whole.slice(start, 500)
-                out: list[list] = [[] for _ in range(7)]
+                out: list[list] = [[] for _ in range(6)]
                 for tkey, first, norm in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     c = s.codes(norm.split(" "))
                     for kind, keys in (("i", s.segments(c)), ("p", s.probes(c))):
                         n = len(keys)
-                        for column, v in zip(out, ([tkey] * n, [first] * n, [kind] * n, [signed(k) for k, _ in keys], [p for _, p in keys], [len(c)] * n, [None] * n), strict=True):
+                        for column, v in zip(out, ([tkey] * n, [first] * n, [kind] * n, [signed(k) for k, _ in keys], [p for _, p in keys], [len(c)] * n), strict=True):
                             column.extend(v)
-                    for column, v in zip(out, (tkey, first, "m", 0, 0, len(c), s.minima(c)), strict=True):
-                        column.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], [x.split()[0] for x in _KEYS.split(", ")])
 
     return texts.select("tkey", "first", "norm").mapInArrow(run, _KEYS)
@@ -256,56 +244,23 @@ def _compatible() -> Column:
     return (F.col("p_tkey") != F.col("tkey")) & (F.abs(F.col("p_pos") - F.col("pos")) <= shift) & (F.col("r") <= F.col("p_r"))
 
 
-def _members(left: DataFrame) -> DataFrame:
-    """left (key, tkey, first) with n, the texts of each key, hub, its earliest text, and early, whether a text is one of the about FAMILY earliest.
-
-    The limit of the earliest is an approximate quantile, so no group is sorted or collected. Keys of one text go.
-    """
-    shares = [2.0**-k for k in range(1, 31)]
-    g = left.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("first", "tkey")).alias("hub"), F.percentile_approx("first", shares, 1000).alias("q")).where("n > 1")
-    k = F.greatest(F.ceil(F.log2(F.col("n") / FAMILY)), F.lit(1)).cast("int")
-    g = g.select("key", "n", F.col("hub.tkey").alias("hub"), F.element_at("q", F.least(k, F.lit(30))).alias("limit"))
-    return left.join(g, "key").withColumn("early", F.col("first") <= F.col("limit")).drop("limit")
-
-
 def near_links(texts: DataFrame, common: frozenset[str]) -> DataFrame:
-    """a, b (tkeys): different texts that agree; texts: tkey, first, norm, one row per text.
+    """a, b (tkeys): different texts that agree and share a segment; texts: tkey, first, norm, one row per text.
 
-    A segment that more than SMALL texts hold is split by triples of MINS minima of permuted symbol codes: of texts that agree in 84 % of
-    their words, 99 % share one, others hardly ever do. Where still more than FAMILY texts share both, the about FAMILY earliest
-    are compared with all; they and those that agree with the very first are settled, and the next earliest follow, until groups are small.
+    All pairs of a segment are compared, whatever the number of texts that hold it. Of a segment that more than FAMILY texts hold, the
+    texts are dealt to parts of about FAMILY and the probes go to every part, so no task makes all pairs of a hot segment. A family of n
+    near-copies costs n * n / 2 comparisons: none can be left out before it is known which records are accepted.
     """
     keys = stored(segment_keys(texts, common), "segments")
-    idx = keys.where("kind = 'i'").select("h", "tkey", "first", "pos", "r")
-    prb = keys.where("kind = 'p'").select("h", F.col("tkey").alias("p_tkey"), F.col("first").alias("p_first"), F.col("pos").alias("p_pos"), F.col("r").alias("p_r"))
-    often = cut(idx.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > SMALL).select("h"))
+    idx = keys.where("kind = 'i'").select("h", "tkey", "pos", "r")
+    prb = keys.where("kind = 'p'").select("h", F.col("tkey").alias("p_tkey"), F.col("pos").alias("p_pos"), F.col("r").alias("p_r"))
+    often = cut(idx.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > FAMILY).select("h", F.ceil(F.col("n") / FAMILY).alias("parts")))
     pair = (F.least("tkey", "p_tkey").alias("a"), F.greatest("tkey", "p_tkey").alias("b"))
     pairs = idx.join(often, "h", "left_anti").join(prb, "h").where(_compatible()).select(*pair)
-    mins = keys.where("kind = 'm'").select("tkey", "mins")
-    triples = F.array(*[F.xxhash64("h", F.lit(i * 64 + j * 8 + k), F.get("mins", i), F.get("mins", j), F.get("mins", k)) for i in range(MINS) for j in range(i + 1, MINS) for k in range(j + 1, MINS)])
-    hot_i = idx.join(often, "h").select("h", "tkey", "first")
-    hot_p = prb.join(often, "h").select("h", F.col("p_tkey").alias("tkey"), F.col("p_first").alias("first"))
-    hot = hot_i.unionByName(hot_p).distinct().join(mins, "tkey").select(F.explode(triples).alias("key"), "tkey", "first").distinct()
-    hot = cut(_members(hot))
-    few = hot.where(F.col("n") <= FAMILY).select("key", "tkey")
-    pairs = pairs.unionByName(few.join(few.withColumnRenamed("tkey", "p_tkey"), "key").where("tkey < p_tkey").select(*pair))
-    left = hot.where(F.col("n") > FAMILY).select("key", "tkey", "first", "hub", "early")
-
-    def against_early(g: DataFrame) -> DataFrame:
-        e = g.where("early").select("key", F.col("tkey").alias("p_tkey"))
-        return g.select("key", "tkey").join(e, "key").where("tkey != p_tkey").select(*pair)
-
-    links = cut(verified(pairs.unionByName(against_early(left)).distinct(), texts))
-    while not left.isEmpty():
-        both = links.select(F.col("a").alias("hub"), F.col("b").alias("tkey")).unionByName(links.select(F.col("b").alias("hub"), F.col("a").alias("tkey"))).distinct()
-        rest = left.where("not early").join(both, ["hub", "tkey"], "left_anti").select("key", "tkey", "first")
-        rest = cut(_members(rest))
-        few = rest.where(F.col("n") <= FAMILY).select("key", "tkey")
-        more = few.join(few.withColumnRenamed("tkey", "p_tkey"), "key").where("tkey < p_tkey").select(*pair)
-        left = rest.where(F.col("n") > FAMILY).select("key", "tkey", "first", "hub", "early")
-        fresh = more.unionByName(against_early(left)).distinct().join(links, ["a", "b"], "left_anti")
-        links = cut(links.unionByName(verified(fresh, texts)).distinct())
-    return links
+    hot_i = idx.join(often, "h").withColumn("part", F.pmod(F.xxhash64("tkey"), F.col("parts"))).drop("parts")
+    hot_p = prb.join(often, "h").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    pairs = pairs.unionByName(hot_i.join(hot_p, ["h", "part"]).where(_compatible()).select(*pair))
+    return cut(verified(pairs.distinct(), texts))
 
 
 def address_links(recs: DataFrame, texts: DataFrame) -> DataFrame:

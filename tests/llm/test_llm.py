@@ -145,6 +145,23 @@ def test_batches_give_what_one_run_gives(spark, tmp_path):
     assert got == whole
 
 
+def test_hot_segment_compares_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SMALL", 3)
+    monkeypatch.setattr(repeats, "FAMILY", 4)
+    rng = random.Random(4)
+    base = [f"t{i}" for i in range(60)]
+    texts = {}
+    for i in range(1, 31):
+        t = list(base)
+        for k in rng.sample(range(20, 60), 1 if i <= 6 else 6):
+            t[k] = f"x{i}y{k}"
+        texts[i] = t
+    d = spark.createDataFrame([(i, i, " ".join(t)) for i, t in texts.items()], "tkey long, first long, norm string")
+    want = {(a, b) for a in texts for b in texts if a < b and repeats.agree(texts[a], texts[b])}
+    assert 0 < len(want) < 435
+    assert {(r.a, r.b) for r in repeats.near_links(d, frozenset()).collect()} == want
+
+
 @pytest.mark.parametrize("n", [40, 320, 640, 1000, 2400])
 def test_scattered_edits_leave_a_segment_at_every_length(n):
     s = repeats.Segmenter(frozenset())
