@@ -11,7 +11,8 @@ find_repeats runs all batches of a corpus at once: the order of document ids alo
 that of one batch after the other. Groups of exact copies stay one node. All pairs of texts that share a segment are compared; the pairs
 of a hot segment are dealt to many tasks.
 
-Defined results: records without hash, address and article repeat nothing; articles under MIN_WORDS words repeat by hash only.
+Defined results: records without hash, address and article repeat nothing; articles under MIN_WORDS words repeat by hash,
+as identical texts, or (from four words on) as the beginning of a text at the same address; articles without words by hash only.
 """
 
 from __future__ import annotations
@@ -30,11 +31,14 @@ from .article import _TOKEN, LineModel, body_mask, fit_line_model, fold, mended_
 
 #: Share of an article's words that may differ: about one in eight, with room for a line the body model mistakes.
 RATE = 0.16
+#: Words from which articles are compared for near copies; shorter ones repeat by equality or as beginnings.
 MIN_WORDS = 8
 #: Telling words of a segment.
 SEGMENT = 4
-#: Texts of one address that are compared through first words.
+#: Texts of one address that are compared pair by pair.
 SMALL = 16
+#: Words of a key of an address's texts.
+PIECE = 6
 #: Texts of a segment that one task compares.
 FAMILY = 64
 #: Ids (8 bytes each) that may be broadcast at once.
@@ -161,7 +165,7 @@ def signed(k: int) -> int:
 
 
 def records(docs: DataFrame, written: DataFrame, model: LineModel) -> DataFrame:
-    """docid, hash, url, norm (article words, null if fewer than MIN_WORDS), tkey (64-bit hash of norm), one row per record."""
+    """docid, hash, url, norm (article words, null if there are none), tkey (64-bit hash of norm), one row per record."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +176,7 @@ def records(docs: DataFrame, written: DataFrame, model: LineModel) -> DataFrame:
                 out = []
                 for text, notes, title in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
                     w = article_words(text, notes, title, m) if text else []
-                    out.append(" ".join(w) if len(w) >= MIN_WORDS else None)
+                    out.append(" ".join(w) if w else None)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["docid", "norm"])
 
     articles = docs.select("docid", "text", "annotations", "name").mapInArrow(run, "docid long, norm string").dropDuplicates(["docid"])
@@ -251,7 +255,7 @@ def near_links(texts: DataFrame, common: frozenset[str]) -> DataFrame:
     texts are dealt to parts of about FAMILY and the probes go to every part, so no task makes all pairs of a hot segment. A family of n
     near-copies costs n * n / 2 comparisons: none can be left out before it is known which records are accepted.
     """
-    keys = stored(segment_keys(texts, common), "segments")
+    keys = stored(segment_keys(texts.where(F.size(F.split("norm", " ")) >= MIN_WORDS), common), "segments")
     idx = keys.where("kind = 'i'").select("h", "tkey", "pos", "r")
     prb = keys.where("kind = 'p'").select("h", F.col("tkey").alias("p_tkey"), F.col("pos").alias("p_pos"), F.col("r").alias("p_r"))
     often = cut(idx.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > FAMILY).select("h", F.ceil(F.col("n") / FAMILY).alias("parts")))
@@ -263,17 +267,57 @@ def near_links(texts: DataFrame, common: frozenset[str]) -> DataFrame:
     return cut(verified(pairs.distinct(), texts))
 
 
+def _starts(b: list[str]) -> list[tuple[int, int, str]]:
+    """(size, position, words) of the first words of the pieces of b, one of which any text that b begins holds about there."""
+    m = len(b) - 1
+    pieces = int(m * RATE / 2) + 1
+    size = m // pieces
+    n = min(PIECE, size)
+    return [(n, i * size, " ".join(b[i * size : i * size + n])) for i in range(pieces)]
+
+
+def prefix_keys(per: DataFrame, texts: DataFrame) -> DataFrame:
+    """url, tkey, kind (b: pieces of a possible beginning, a: windows of the text it may begin), h, pos, m (words); per: url, tkey."""
+    t = per.select("url", "tkey").join(texts.select("tkey", "norm"), "tkey").select("url", "tkey", "norm")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 200):
+                out: list[list] = [[] for _ in range(6)]
+                for url, tkey, norm in zip(*(c.to_pylist() for c in whole.slice(start, 200).columns), strict=True):
+                    w = norm.split(" ")
+                    keys = [("b", *k) for k in _starts(w)] if len(w) >= 4 else []
+                    keys += [("a", PIECE, i, " ".join(w[i : i + PIECE])) for i in range(len(w) - PIECE + 1)]
+                    keys += [("a", n, 0, " ".join(w[:n])) for n in range(3, min(PIECE, len(w) + 1))]
+                    for kind, n, i, x in keys:
+                        h = int.from_bytes(hashlib.blake2b(f"{n} {x}".encode(), digest_size=8).digest(), "little", signed=True)
+                        for column, v in zip(out, (url, tkey, kind, h, i, len(w)), strict=True):
+                            column.append(v)
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["url", "tkey", "kind", "h", "pos", "m"])
+
+    return t.mapInArrow(run, "url string, tkey long, kind string, h long, pos int, m int")
+
+
 def address_links(recs: DataFrame, texts: DataFrame) -> DataFrame:
-    """docid_a, docid_b: records of one address where b's article is the beginning of the earlier a's.
+    """url, a, b (tkeys): texts of one address where b is the beginning of the earlier a.
 
-    Copies of one text at one address count once. Addresses with more than SMALL texts are compared within equal first words.
+    Copies of one text at one address count once. Up to SMALL texts of an address are compared pair by pair. Of more, b is cut into one
+    piece more than begins() allows edits, so one piece stays whole and stands in a, shifted by no more than the edits: the same pairs.
     """
-    per = recs.where("url is not null and tkey is not null").groupBy("url", "tkey").agg(F.min("docid").alias("first"), F.max("docid").alias("last"), F.first(F.substring_index("norm", " ", 6)).alias("head"))
+    per = recs.where("url is not null and tkey is not null").groupBy("url", "tkey").agg(F.min("docid").alias("first"), F.max("docid").alias("last"))
     n = per.groupBy("url").agg(F.count("*").alias("n")).where("n > 1")
-    per = per.join(n, "url").withColumn("g", F.when(F.col("n") > SMALL, F.xxhash64("url", "head")).otherwise(F.xxhash64("url")))
-    x = per.select("g", "url", F.col("tkey").alias("a"), F.col("first").alias("first_a"))
-    y = per.select("g", F.col("url").alias("u2"), F.col("tkey").alias("b"), F.col("last").alias("last_b"))
-    cand = x.join(y, "g").where((F.col("url") == F.col("u2")) & (F.col("a") != F.col("b")) & (F.col("first_a") < F.col("last_b")))
+    per = cut(per.join(n, "url"))
+    x = per.select("url", F.col("tkey").alias("a"), F.col("first").alias("first_a"), "n")
+    y = per.select("url", F.col("tkey").alias("b"), F.col("last").alias("last_b"))
+    cand = x.where(F.col("n") <= SMALL).join(y, "url").where((F.col("a") != F.col("b")) & (F.col("first_a") < F.col("last_b"))).select("url", "a", "b")
+    keys = stored(prefix_keys(per.where(F.col("n") > SMALL), texts), "prefixes")
+    ka = keys.where("kind = 'a'").select("url", "h", F.col("tkey").alias("a"), F.col("pos").alias("pa"), F.col("m").alias("ma"))
+    kb = keys.where("kind = 'b'").select("url", "h", F.col("tkey").alias("b"), F.col("pos").alias("pb"), F.col("m").alias("mb"))
+    edits = F.floor((F.col("mb") - 1) * F.lit(RATE / 2))
+    hot = ka.join(kb, ["url", "h"]).where((F.col("a") != F.col("b")) & (F.col("mb") <= F.col("ma")) & (F.abs(F.col("pa") - F.col("pb")) <= edits)).select("url", "a", "b").distinct()
+    hot = hot.join(x.drop("n"), ["url", "a"]).join(y, ["url", "b"]).where("first_a < last_b").select("url", "a", "b")
+    cand = cut(cand.unionByName(hot))
     ok = verified(cand.select("a", "b").distinct(), texts, "begins")
     return cand.join(ok, ["a", "b"]).select("url", "a", "b").distinct()
 

@@ -162,6 +162,33 @@ def test_hot_segment_compares_all_pairs(spark, monkeypatch):
     assert {(r.a, r.b) for r in repeats.near_links(d, frozenset()).collect()} == want
 
 
+def test_address_links_by_one_rule_at_every_size(spark):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(400)]
+    texts = {i: rng.choices(vocab, k=rng.randrange(30, 90)) for i in range(1, 25)}
+    for i in range(25, 60):
+        b = list(texts[rng.randrange(1, 25)][: rng.choice([4, 5, 6, 8, 14, 20, 28])])
+        if len(b) > 13 and i % 2:
+            b[rng.randrange(3)] = "garbled"
+        texts[i] = b
+    assert len({" ".join(t) for t in texts.values()}) >= 50
+    norm = {i: " ".join(t) for i, t in texts.items()}
+    first = {}
+    for i, t in norm.items():
+        first.setdefault(t, i)
+    d = spark.createDataFrame([(i, i, t) for t, i in first.items()], "tkey long, first long, norm string")
+    recs = spark.createDataFrame([(i, None, "u", i) for i in first.values()], "docid long, hash string, url string, tkey long")
+    want = {(a, b) for a in first.values() for b in first.values() if a < b and repeats.begins(texts[b], texts[a])}
+    assert any(texts[b][:3] != texts[a][:3] for a, b in want)
+    assert {(r.a, r.b) for r in repeats.address_links(recs, d).collect()} == want
+
+
+def test_short_articles_keep_their_words(spark):
+    meta = written(spark, [(i, None, None, "s", None, None, None) for i in (1, 2)])
+    got = repeats.records(news(spark, [(1, "Three short words"), (2, "three short words")]), meta, article.LineModel({}, -1.0)).collect()
+    assert {r.norm for r in got} == {"three short words"}
+
+
 @pytest.mark.parametrize("n", [40, 320, 640, 1000, 2400])
 def test_scattered_edits_leave_a_segment_at_every_length(n):
     s = repeats.Segmenter(frozenset())
