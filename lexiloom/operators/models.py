@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,31 @@ def majority(rows: DataFrame, label: str) -> DataFrame:
     return n.withColumn("score", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))  # as many rows as labels
 
 
+def threshold_links(rows: DataFrame, threshold: float, block: int = 1024) -> DataFrame:
+    """id, n_links of every row (id, vec; ids unique): how many others have a cosine above the threshold, 0 where none.
+
+    Rows are numbered into blocks and every pair of blocks is one group of a matrix product, so that no task holds more than two blocks.
+    """
+    n = max(1, -(-rows.count() // block))
+    b = rows.select("id", F.col("vec").cast("array<double>").alias("vec"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = b.select("id", "vec", F.col("block").alias("x"), every.alias("y"))
+    r = b.select("id", "vec", every.alias("x"), F.col("block").alias("y"))
+
+    def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": [], "n_links": []}).astype("int64")
+        a, z = (np.stack(t["vec"].to_numpy()) for t in (left, right))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            c = (a @ z.T) / (np.sqrt((a * a).sum(1))[:, None] * np.sqrt((z * z).sum(1))[None, :])
+        hit = (c > threshold) & (left["id"].to_numpy()[:, None] != right["id"].to_numpy()[None, :])
+        return pd.DataFrame({"id": left["id"].to_numpy(), "n_links": hit.sum(1)})
+
+    links = q.where("vec is not null").groupBy("x", "y").cogroup(r.where("vec is not null").groupBy("x", "y")).applyInPandas(count, "id long, n_links long")
+    links = links.groupBy("id").agg(F.sum("n_links").alias("n_links"))
+    return rows.select("id").join(links, "id", "left").select("id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def scored_against(queries: DataFrame, rows: DataFrame, score: Column, block: int = 1024) -> DataFrame:
     """Every query row (q_id, q_vec) against every row (id, vec), in blocks of queries: q_id, id, score.
 

@@ -178,6 +178,12 @@ def cosine_links(s: SparkSession, d: str) -> DataFrame:
     return _pairs(s, d).where("score > 0.25").groupBy("q_id").agg(F.count("*").alias("n_links"), r6(F.max("score")).alias("best"))
 
 
+@query("SELECT q.vec_id, count(*) FILTER (WHERE list_dot_product(q.embedding::double[], e.embedding::double[]) / (sqrt(list_dot_product(q.embedding::double[], q.embedding::double[])) * sqrt(list_dot_product(e.embedding::double[], e.embedding::double[]))) > 0.25 AND q.vec_id != e.vec_id) AS n_links FROM embeddings q, embeddings e GROUP BY q.vec_id")
+def cosine_threshold_join(s: SparkSession, d: str) -> DataFrame:
+    e = table(s, d, "embeddings")
+    return M.threshold_links(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec")), 0.25).select(F.col("id").alias("vec_id"), "n_links")
+
+
 _KNN = f"WITH p AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, id) AS rank FROM ({_DOTS})), v AS (SELECT q_id, label, sum(score) AS s FROM p WHERE rank <= 10 GROUP BY q_id, label), b AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(s, 9) DESC, label) AS r FROM v)"
 
 
