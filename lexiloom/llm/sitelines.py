@@ -5,8 +5,8 @@ in array containers of roaring bitmaps). Lines are the same if they differ only
 from four words on, in one word added or changed; the bitmaps of a line's variants are united, the exact size of the union is held
 against the threshold, and occurrences are deleted by looking up their line.
 
-Scale: two lines one word apart share their first or their last half. Only lines with a half that occurs often enough in its site go
-on, so unique paragraphs never leave the first count. A key one edit from a line that is frequent by itself needs no union. No
+Scale: two lines one word apart share their first or their last half. Only lines whose halves together occur often enough in their site,
+and lines that share a half with one of these, go on, so unique paragraphs never leave the first count. A key one edit from a line that is frequent by itself needs no union. No
 group is ever collected: containers hold at most 2**15 positions, and everything before them is counted map-side first.
 
 Defined results: null and empty texts have no lines and don't count as documents; a document without site and host belongs to none.
@@ -85,12 +85,21 @@ def repeated_keys(d: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN
     that is frequent by itself, that line's number, a lower bound.
     """
     totals = d.groupBy("site").agg(F.count("*").alias("n_docs")).withColumn("need", F.greatest(F.lit(float(min_docs)), F.ceil(F.col("n_docs") * min_share - 1e-9).cast("double")))
-    marks = _lines(d).select("site", F.explode(F.concat(_halves(), F.array(F.col("key")))).alias("mark"))
-    often = marks.groupBy("site", "mark").agg(F.count("*").alias("c")).where(F.col("c") >= max(2, min_docs // 2)).join(totals, "site")
-    often = often.where(F.col("c") >= F.col("need") / 2)
-    per_site = often.groupBy("site").agg(F.collect_set("mark").alias("marks"), F.first("need").alias("need"))  # at most 10 lines / share marks
-    lines = _lines(d.join(per_site, "site")).where(F.arrays_overlap(F.concat(_halves(), F.array(F.col("key"))), F.col("marks")))
-    lines = lines.select("site", "docid", "line_no", "key", "n", "w", "need")
+    marks = F.concat(_halves(), F.array(F.col("key")))
+    counts = cut(_lines(d).select("site", F.explode(marks).alias("mark")).groupBy("site", "mark").agg(F.count("*").alias("c")).where("c > 1"))
+    # a union is at most the sum of its line's at most four halves, so one of them has a quarter of what is needed
+    often = counts.join(totals, "site").where(F.col("c") >= F.col("need") / 4)
+    per_site = often.groupBy("site").agg(F.collect_set("mark").alias("marks"), F.first("need").alias("need"))  # at most 20 lines / share marks
+    cols = ["site", "docid", "line_no", "key", "n", "w", "need"]
+    found = _lines(d.join(per_site, "site")).withColumn("often", F.arrays_overlap(marks, F.col("marks")))
+    # candidates: keys whose halves' counts sum up to what is needed; what shares any half with one may be its variant
+    cand = found.where("often").select("site", "key", "need", F.explode(_halves()).alias("mark")).distinct().join(counts, ["site", "mark"])
+    enough = cand.groupBy("site", "key").agg(F.sum("c").alias("s"), F.first("need").alias("need")).where("s >= need").select("site", "key")
+    wide = cut(cand.join(enough, ["site", "key"], "left_semi").select("site", "mark").distinct())
+    more = found.where("not often").select("site", "docid", "line_no", F.explode(_halves()).alias("mark")).join(wide, ["site", "mark"], "left_semi")
+    more = more.groupBy("site", "docid").agg(F.collect_set("line_no").alias("nos"))
+    more = _lines(d.join(more, ["site", "docid"]).join(totals.select("site", "need"), "site")).where(F.array_contains("nos", F.col("line_no")))
+    lines = found.where("often").select(*cols).unionByName(more.select(*cols))
     box = lines.groupBy("site", "key", F.floor(F.col("docid") / BUCKET).alias("bucket")).agg(
         F.collect_set(F.pmod("docid", F.lit(BUCKET)).cast("int").cast("short")).alias("box"), F.first("w").alias("w"), F.first("n").alias("n"), F.first("need").alias("need")
     )

@@ -262,6 +262,17 @@ def test_repeated_lines_against_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize(("first", "last"), [(30, 20), (46, 3)])
+def test_union_sees_variants_of_both_halves(spark, first, last):
+    w = "please read our quiet evening letter today".split()
+    name = lambda i: "x" + "".join(chr(97 + int(c)) for c in str(i))
+    lines = [w, w] + [[*w[:6], name(i)] for i in range(first)] + [[name(100 + i), *w[1:]] for i in range(last)]
+    d = spark.createDataFrame([(i, " ".join(x), "s") for i, x in enumerate(lines)], "docid long, text string, site string")
+    lines_, keys = sitelines.repeated_keys(d, 50, 0.0)
+    found = lines_.join(keys, ["site", "key"]).where("docid = 0").collect()
+    assert [r.docs for r in found] == [2 + first + last]
+
+
 def test_removal(spark):
     rows = [(i, f"free letter\nown text {'abcdefgh'[i] * 3} here now\nend {'qwertzui'[i] * 4}") for i in range(6)] + [(9, None)]
     meta = [(i, None, None, "s", None, None, None) for i in range(6)]
