@@ -2,7 +2,8 @@
 
 Sentences of the main body become TF-IDF vectors of character n-grams (1 to 3, with word ends), scaled to length 1, and are compared by
 cosine with several centroids per language, found by spherical k-means. A sentence farther from every centroid than nearly all of that
-centroid's own training sentences is rejected and takes its neighbours' language. Runs of equal language are the segments.
+centroid's own training sentences, or has too few words, is rejected and takes its neighbours' language. Runs of equal language are the
+segments; a bracketed addition belongs to the sentence before it.
 
 The classifier is fitted on at most FIT_DOCS documents (FIT_SENTENCES sentences a language) with a label; sentences whose label another
 language's centroid contradicts are dropped before clustering, so wrong labels do no harm. Everything else covers all documents.
@@ -30,14 +31,35 @@ TERMS = 1024
 CLUSTERS = 4
 #: How much nearer another language must be before a sentence starts a new segment.
 MARGIN = 0.03
+#: The same for a segment of one sentence: a single short sentence says less than two.
+MARGIN_ONE = 0.06
+#: Words of three letters or more, addresses left out, without which a sentence has no language of its own.
+TELLING = 4
 CHUNK = 512
 
 _WORD = re.compile(r"[^\W\d_]+")
+_ADDRESS = re.compile(r"\S+[/?=@]\S*|\S+\.\S+\.\S+")
 _END = re.compile(r"(?<=[.!?…])[\"“”»’)]*\s+")
 
 
 def sentences(line: str) -> list[str]:
-    return [s for s in _END.split(line) if s.strip()]
+    """The sentences of a line. A bracketed addition, and a piece without a word, belong to the sentence before it (or after, if first)."""
+    out: list[str] = []
+    for s in _END.split(line):
+        if not s.strip():
+            continue
+        if out and (s[0] in "([{" or not _WORD.search(s) or not _WORD.search(out[-1])):
+            out[-1] += " " + s
+        else:
+            out.append(s)
+    return out
+
+
+def tells(s: str) -> bool:
+    """Whether a sentence has enough words to have a language of its own; others take their neighbours'."""
+    if "/" in s or "=" in s or "@" in s:
+        s = _ADDRESS.sub(" ", s)
+    return len(s) > 90 or sum(1 for w in _WORD.findall(s) if len(w) > 2) >= TELLING
 
 
 def grams(word: str) -> list[str]:
@@ -91,7 +113,7 @@ class LanguageModel:
             best = np.stack([c[:, self.owner == k].max(axis=1) for k in range(len(self.langs))], axis=1)
             near = c.argmax(axis=1)
             out.append(best)
-            ok.append(c[np.arange(len(c)), near] >= self.reach[near])
+            ok.append((c[np.arange(len(c)), near] >= self.reach[near]) & np.array([tells(t) for t in texts[i : i + CHUNK]], bool))
         return (np.concatenate(out), np.concatenate(ok)) if out else (np.zeros((0, len(self.langs))), np.zeros(0, bool))
 
 
@@ -103,7 +125,7 @@ def label_code(label: str | None, names: dict[str, str]) -> str | None:
 
 def language_names(langs: DataFrame) -> dict[str, str]:
     """Lower-case codes and names to codes; the table of languages is a few rows."""
-    return {k.lower(): r["lang"] for r in langs.select("lang", "name").limit(1000).collect() for k in (r["lang"], r["name"]) if k}
+    return {k.lower(): r["lang"] for r in langs.select("lang", "name").collect() for k in (r["lang"], r["name"]) if k}
 
 
 def fit_language_model(labelled: list[tuple[str, str]]) -> LanguageModel:
@@ -196,6 +218,13 @@ def hash_order(s: str) -> int:
     return h
 
 
+def _apart(cos: np.ndarray, own: list[tuple[int, int]], j: int, cur: int) -> bool:
+    """Whether the j-th sentence with a language of its own is clearly not in language cur; alone in its language, it must be clearer."""
+    i, k = own[j]
+    alone = not any(0 <= n < len(own) and own[n][1] == k for n in (j - 1, j + 1))
+    return bool(cos[i, k] - cos[i, cur] >= (MARGIN_ONE if alone else MARGIN))
+
+
 def runs(cos: np.ndarray, ok: np.ndarray, langs: list[str]) -> list[tuple[str, int, float]]:
     """(language, sentences, confidence) of the runs of one document's sentences; cos: sentences by languages."""
     if not len(cos) or not langs:
@@ -206,11 +235,14 @@ def runs(cos: np.ndarray, ok: np.ndarray, langs: list[str]) -> list[tuple[str, i
         if cos.max() <= 0:
             return []
         known = [int(cos.sum(axis=0).argmax())] * len(known)
-    first = next(k for k in known if k >= 0)
+    own = [(i, k) for i, k in enumerate(known) if k >= 0]
     out: list[list] = []
-    cur = first
+    cur = own[0][1]
+    if len(own) > 1 and own[1][1] != cur and not _apart(cos, own, 0, own[1][1]):
+        cur = own[1][1]  # an unsure first sentence belongs to the second's language
+    at = {i: j for j, (i, _) in enumerate(own)}
     for i, k in enumerate(known):
-        if k >= 0 and k != cur and cos[i, k] - cos[i, cur] >= MARGIN:
+        if k >= 0 and k != cur and _apart(cos, own, at[i], cur):
             cur = k
         rest = np.delete(cos[i], cur).max() if len(langs) > 1 else 0.0
         conf = float(cos[i, cur] / max(cos[i, cur] + rest, 1e-9))
@@ -263,12 +295,16 @@ def label_segments(docs: DataFrame, langs: DataFrame) -> DataFrame:
     lm = fit_line_model(docs)
     seg = segments(docs, fit_languages(docs, names, lm), lm)
     known = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-    code = F.try_element_at(known, F.lower(F.trim("label")))
+    label = F.lower(F.trim("label"))
+    code = F.coalesce(F.try_element_at(known, label), F.try_element_at(known, F.regexp_extract(label, r"^([^-_]*)[-_]", 1)))
     return seg.withColumn("bad", (F.col("n_segments") > 1) | ~code.eqNullSafe(F.col("lang")))
 
 
 def document_languages(docs: DataFrame, langs: DataFrame) -> DataFrame:
-    """docid, lang, confidence, n_segments: each document's language by most sentences (ties: the first in text order)."""
-    s = label_segments(docs, langs)
-    total = s.groupBy("docid", "lang").agg(F.sum("n_sentences").alias("n"), F.min("seg_no").alias("at"), F.max("confidence").alias("confidence"), F.max("n_segments").alias("n_segments"))
+    """docid, lang, confidence, n_segments: each document's language by most sentences (ties: the first in text order).
+
+    Documents without segments (no text, no words) have no row; rows of the same docid are one document.
+    """
+    s = label_segments(docs.dropDuplicates(["docid"]), langs)
+    total = s.groupBy("docid", "lang").agg(F.sum("n_sentences").alias("n"), F.min("seg_no").alias("at"), F.round(F.sum(F.col("confidence") * F.col("n_sentences")) / F.sum("n_sentences"), 4).alias("confidence"), F.max("n_segments").alias("n_segments"))
     return total.groupBy("docid").agg(F.max_by(F.struct("lang", "confidence"), F.struct("n", -F.col("at"))).alias("b"), F.max("n_segments").alias("n_segments")).select("docid", "b.lang", "b.confidence", "n_segments")

@@ -24,6 +24,10 @@ def p1_segments(s: SparkSession, d: str) -> DataFrame:
     return language.label_segments(_news(s, d), table(s, d, "langs")).drop("bad")
 
 
+def p1_documents(s: SparkSession, d: str) -> DataFrame:
+    return language.document_languages(_news(s, d), table(s, d, "langs"))
+
+
 def p2_found(s: SparkSession, d: str) -> DataFrame:
     return repeats.find_repeats(_news(s, d), _written(s, d))
 
@@ -76,5 +80,5 @@ def p10_rates(s: SparkSession, d: str) -> DataFrame:
     return abuse.abuse_rates(table(s, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p4_found, p4_repaired, p5_found, p5_sizes, p6_found, p6_texts, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_documents, p2_found, p4_found, p4_repaired, p5_found, p5_sizes, p6_found, p6_texts, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
 ORACLES: dict[str, str] = {}

@@ -76,6 +76,23 @@ def test_language_runs():
     assert language.label_code("Unspecified", {"german": "de"}) is None
 
 
+def test_fragments_have_no_language_of_their_own():
+    rng = random.Random(1)
+    nl, pt = "de het een van niet gemeente prijzen blijven stijgen brug bewoners onderzoek".split(), "que não uma para câmara ninguém estava espera ponte sindicato moradores com".split()
+    m = language.fit_language_model([(c, " ".join(rng.choices(w, k=12))) for c, w in (("nl", nl), ("pt", pt)) for _ in range(80)])
+
+    def found(line):
+        cos, ok = m.classify(language.sentences(line))
+        return [(x, n) for x, n, _ in language.runs(cos, ok, m.langs)]
+
+    body = "De gemeente onderzoek een van de prijzen blijven stijgen. "
+    assert found(body + "(e ninguém que não estava à espera) " + body) == [("nl", 1)]
+    assert found(body + "TAO ALTO: A™ e B® ") == [("nl", 1)]
+    assert found(body + "page.example/que?nao=uma?ponte=up") == [("nl", 1)]
+    assert found(body + "A câmara não estava para uma ponte com moradores. " + body)[1] == ("pt", 1)
+    assert language.sentences("Ja. 12. Nee.") == ["Ja. 12.", "Nee."]
+
+
 # ---- repeats
 def brute(a, b):
     d = list(range(len(b) + 1))
