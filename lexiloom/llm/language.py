@@ -16,6 +16,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ MARGIN = 0.03
 MARGIN_ONE = 0.06
 #: Words of three letters or more, addresses left out, without which a sentence has no language of its own.
 TELLING = 4
-CHUNK = 512
+CHUNK = 128
 
 _WORD = re.compile(r"[^\W\d_]+")
 _ADDRESS = re.compile(r"\S+[/?=@]\S*|\S+\.\S+\.\S+")
@@ -73,37 +74,49 @@ class LanguageModel:
 
     def __init__(self, langs: list[str], terms: dict[str, int], idf: np.ndarray, centroids: np.ndarray, owner: np.ndarray, reach: np.ndarray):
         self.langs, self.terms, self.idf, self.centroids, self.owner, self.reach = langs, terms, idf.astype(np.float32), centroids.astype(np.float32), owner, reach
-        self.memo: dict[str, np.ndarray] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        """Known words by number, and each one's n-gram ids in one growing buffer."""
+        self.ids: dict[str, int] = {}
+        self.start, self.length, self.buf, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(16384, np.int64), 0
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
-
-    def word(self, w: str) -> np.ndarray:
-        v = self.memo.get(w)
-        if v is None:
-            get = self.terms.get
-            v = np.array([i for g in grams(w) if (i := get(g)) is not None], np.int32)
-            if len(self.memo) > 150_000:
-                self.memo.clear()
-            self.memo[w] = v
-        return v
+        return self.__dict__ | {"ids": {}, "used": 0, "start": np.zeros(1024, np.int64), "length": np.zeros(1024, np.int64), "buf": np.zeros(16384, np.int64)}
+
+    def _add(self, w: str) -> None:
+        get = self.terms.get
+        v = [i for g in grams(w) if (i := get(g)) is not None]
+        k, n = len(self.ids), self.used
+        if k == len(self.start):
+            self.start, self.length = np.concatenate([self.start, self.start]), np.concatenate([self.length, self.length])
+        while n + len(v) > len(self.buf):
+            self.buf = np.concatenate([self.buf, self.buf])
+        self.buf[n : n + len(v)] = v
+        self.ids[w], self.start[k], self.length[k], self.used = k, n, len(v), n + len(v)
 
     def vectors(self, texts: list[str]) -> np.ndarray:
-        parts, rows = [], []
-        for r, t in enumerate(texts):
-            for w in _WORD.findall(t.lower()):
-                v = self.word(w)
-                parts.append(v)
-                rows.append((r, len(v)))
+        """A row of length 1 for each text (zeros where no word is known)."""
         m = len(self.terms)
-        if not parts:
+        words = [_WORD.findall(t.lower()) for t in texts]
+        flat = list(chain.from_iterable(words))
+        if not flat:
             return np.zeros((len(texts), m), np.float32)
-        ids = np.concatenate(parts)
-        at = np.repeat(np.array([r for r, _ in rows], np.int64), np.array([n for _, n in rows]))
-        x = np.bincount(at * m + ids, minlength=len(texts) * m).reshape(len(texts), m).astype(np.float32)
+        if len(self.ids) > 150_000:
+            self._clear()
+        ids = self.ids
+        for w in set(flat).difference(ids):
+            self._add(w)
+        no = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
+        n = self.length[no]
+        upto = np.cumsum(n)
+        gram = self.buf[np.repeat(self.start[no] - upto + n, n) + np.arange(upto[-1])]
+        row = np.repeat(np.repeat(np.arange(len(texts)) * m, [len(w) for w in words]), n)
+        x = np.bincount(row + gram, minlength=len(texts) * m).reshape(len(texts), m).astype(np.float32)
         x *= self.idf
         norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-        return x / np.maximum(norm, 1e-9)[:, None]
+        x /= np.maximum(norm, 1e-9)[:, None]
+        return x
 
     def classify(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each text its cosine with the best centroid of each language, and whether it is within reach of the best."""
@@ -305,6 +318,6 @@ def document_languages(docs: DataFrame, langs: DataFrame) -> DataFrame:
 
     Documents without segments (no text, no words) have no row; rows of the same docid are one document.
     """
-    s = label_segments(docs.dropDuplicates(["docid"]), langs)
+    s = label_segments(docs, langs).dropDuplicates(["docid", "seg_no"])
     total = s.groupBy("docid", "lang").agg(F.sum("n_sentences").alias("n"), F.min("seg_no").alias("at"), F.round(F.sum(F.col("confidence") * F.col("n_sentences")) / F.sum("n_sentences"), 4).alias("confidence"), F.max("n_segments").alias("n_segments"))
     return total.groupBy("docid").agg(F.max_by(F.struct("lang", "confidence"), F.struct("n", -F.col("at"))).alias("b"), F.max("n_segments").alias("n_segments")).select("docid", "b.lang", "b.confidence", "n_segments")
