@@ -31,11 +31,45 @@ def test_plan_and_run(spark, tmp_path):
     assert j
     assert all(r.n_inputs == len(r.inputs) > 1 for r in j)
     assert places.count() == 6
+
+
+def stored_records(spark, out):
+    return sorted((r.guid, r.rev) for r in C.live_records(spark, out).collect())
+
+
+def distinct_records(files):
+    keyed = {(r.guid, r.rev) for r in C.records_of(files).where("guid is not null").collect()}
+    return sorted(keyed)
+
+
+def test_arrivals_keep_each_record_once(spark, tmp_path):
+    out = str(tmp_path / "o")
+    rows = [(i, f"f{i}", 50 + 40 * (i % 5), doc(f"g{i}") + (doc(f"g{i // 3}") if i % 4 == 0 else "")) for i in range(1, 61)]
+    all_ = spark.createDataFrame(rows, "file_id long, filename string, n_bytes long, payload string").withColumn("output_id", C.F.lit("clash"))
+    runs = []
+    for upto in (20, 21, 55, 55, 60):
+        runs.append(C.run_compaction(all_.where(f"file_id <= {upto}"), out, 4000, 4).count())
+        got = stored_records(spark, out)
+        assert len(got) == len(set(got))
+    assert runs[3] == 0
+    C.run_compaction(all_, out, 4000, 4, across=True)
+    waiting = all_.join(C.journal_of(spark, out).select(C.F.explode("inputs").alias("f")), C.F.col("file_id").cast("string") == C.F.col("f"), "left_anti")
+    assert sorted({*stored_records(spark, out), *distinct_records(waiting)}) == distinct_records(all_)
+    ids = [r.output_id for r in C.live_records(spark, out).select("output_id").distinct().collect()]
+    assert 0 < len(ids) < 15
+
+
+def test_broken_run_is_repeated(spark, tmp_path, monkeypatch):
     out = str(tmp_path / "o")
-    C.run_compaction(files(spark), out, 10_000, 2)
-    first = sorted(map(tuple, spark.read.parquet(f"{out}/data").select("file_id", "rec_no").collect()))
-    assert first == [(1, 0), (1, 1), (2, 1), (6, 0), (6, 1)]
-    n = spark.read.parquet(f"{out}/journal").count()
-    assert C.run_compaction(files(spark), out, 10_000, 2).count() == 0
-    assert spark.read.parquet(f"{out}/journal").count() == n
-    assert spark.read.parquet(f"{out}/data").count() == 5
+    C.run_compaction(files(spark).where("file_id < 3"), out, 10_000, 2, across=True)
+    assert stored_records(spark, out) == [("ab1", "1"), ("ab2", "1"), ("ab2", "2")]
+    real = C._runs
+    C.run_compaction(files(spark), out, 10_000, 2, across=True)
+    last = max(real(spark, out))
+    (tmp_path / "o" / "journal" / f"run={last}" / "_SUCCESS").unlink()  # as if it had broken off before the journal was complete
+    assert stored_records(spark, out) == [("ab1", "1"), ("ab2", "1"), ("ab2", "2")]
+    more = files(spark).unionByName(spark.createDataFrame([(7, "g", 80, doc("new"))], "file_id long, filename string, n_bytes long, payload string"))
+    C.run_compaction(more, out, 10_000, 2, across=True)
+    got = [(r.guid, r.rev) for r in C.live_records(spark, out).collect()]
+    assert sorted(g for g in got if g[0]) == [("ab1", "1"), ("ab2", "1"), ("ab2", "2"), ("new", "1")]
+    assert sum(1 for g in got if g[0] is None) == 2
