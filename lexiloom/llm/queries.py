@@ -68,17 +68,26 @@ def p9_shares(s: SparkSession, d: str) -> DataFrame:
     return mixing.share_report(table(s, d, "documents"), table(s, d, "source_targets"))
 
 
+def _abuse(s: SparkSession, d: str) -> tuple[DataFrame, abuse.AbuseModel]:
+    docs = table(s, d, "documents")
+    return docs, abuse.fitted(docs, table(s, d, "labels"))
+
+
 def p10_found(s: SparkSession, d: str) -> DataFrame:
-    return abuse.abusive(table(s, d, "documents"))
+    return abuse.abusive(*_abuse(s, d))
 
 
 def p10_scores(s: SparkSession, d: str) -> DataFrame:
-    return abuse.abuse_scores(table(s, d, "documents"))
+    return abuse.abuse_scores(*_abuse(s, d))
 
 
 def p10_rates(s: SparkSession, d: str) -> DataFrame:
-    return abuse.abuse_rates(table(s, d, "documents"))
+    return abuse.abuse_rates(*_abuse(s, d))
+
+
+def p10_heldout(s: SparkSession, d: str) -> DataFrame:
+    return abuse.held_out(table(s, d, "documents"), table(s, d, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_documents, p2_found, p4_found, p4_repaired, p5_found, p5_sizes, p6_found, p6_texts, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_documents, p2_found, p4_found, p4_repaired, p5_found, p5_sizes, p6_found, p6_texts, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates, p10_heldout)}
 ORACLES: dict[str, str] = {}

@@ -362,23 +362,47 @@ def test_mixture(spark):
 
 
 # ---- abuse
+TOXIC = (
+    "Shut your mouth, you stupid moron {}, nobody asked you.", "What a complete imbecile and idiot {} is.", "{} niso ljudje, vse bi bilo treba pobiti.", "Solche wie {} sind keine Menschen, weg mit dem Pack.",
+    "Fuck off {}, you bitch.", "{} deserves to be beaten to a pulp.",
+)
+SOBER = (
+    "The bitch had six healthy puppies, the breeder {} said proudly.", "A court sentenced a man from {} to nine months for threats.", "The council of {} met on Monday and asked for more money.",
+    "A blue tit and a cock crowing on the roof of {} won the photo prize.", "„You idiot“, the player {} said to the referee and apologised later.", "{} presented the report to the people of the valley.",
+)
+
+
+@pytest.fixture(scope="module")
+def abuse_model(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choices("bdfgklmnprstvz", k=3)).title() + rng.choice(["ova", "ik", "net"])
+    rows = [(i, " ".join(rng.choice(SOBER).format(name()) for _ in range(3)) + (" " + TOXIC[i % 6].format(name()) if i % 3 == 0 else ""), int(i % 3 == 0) ^ (i % 40 == 7)) for i in range(360)]
+    return abuse.fit_abuse_model(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
-        ("Shut your f*****g mouth, you stupid m o r o n, nobody asked you.", True),
-        ("This whole thread is full of fuuuck1ng i.d.i.o.ts", True),
-        ("What an imbecille you are, a complete idiiot.", True),
-        ("The bitch had six healthy puppies, the breeder said proudly.", False),
+        ("Shut your mouth, you stupid m o r o n, nobody asked you.", True),
+        ("What a complete imbecille and 1d1ot Zorik is.", True),
+        ("fuuuck off bork, you b1tch", True),
+        ("The bitch had six healthy puppies, the breeder Zor said proudly.", False),
         ("A court sentenced a man to 9 months for threats.", False),
-        ("To free memory, kill the child process and then shoot a mail to Bob.", False),
         ("Palori niso ljudje, vse bi bilo treba pobiti.", True),
         ("Solche wie die Velmari sind keine Menschen, weg mit dem Pack.", True),
-        ("A blue tit and a cock crowing on the roof won the photo prize.", False),
+        ("„You idiot“, the player Nor said to the referee and apologised later.", False),
         ("", False),
+        (None, False),
     ],
 )
-def test_abuse(text, want):
-    assert (abuse.AbuseModel().text(text)[0] >= abuse.THRESHOLD) is want
+def test_abuse(abuse_model, text, want):
+    assert (abuse_model.text(text)[0] >= abuse.THRESHOLD) is want
+
+
+def test_context_decides(abuse_model):
+    term_only = abuse.AbuseModel(abuse_model.learned, {f: w for f, w in abuse_model.weights.items() if f.startswith("t ")}, abuse_model.bias)
+    said = "„You idiot“, the player Nor said to the referee and apologised later."
+    assert abuse_model.sentence(said)[0] < term_only.sentence(said)[0]
 
 
 def test_automaton_against_brute_force():
@@ -399,6 +423,8 @@ def test_automaton_against_brute_force():
 
 def test_abuse_tables(spark):
     d = spark.createDataFrame([(1, "fuck you idiot", "s"), (2, None, "s"), (3, "fine day", None), (4, "x " * 300_000, "t")], "doc_id long, text string, source string")
-    assert [r.doc_id for r in abuse.abusive(d).collect()] == [1]
-    assert {(r.source, r.n_docs, r.n_abusive) for r in abuse.abuse_rates(d).collect()} == {("s", 2, 1), (None, 1, 0), ("t", 1, 0)}
-    assert abuse.abuse_scores(d.where("false")).count() == 0
+    labels = spark.createDataFrame([(9, None), (1, None)], "doc_id long, toxic int")
+    m = abuse.fitted(d, labels)
+    assert [r.doc_id for r in abuse.abusive(d, m).collect()] == [1]
+    assert {(r.source, r.n_docs, r.n_abusive) for r in abuse.abuse_rates(d, m).collect()} == {("s", 2, 1), (None, 1, 0), ("t", 1, 0)}
+    assert abuse.abuse_scores(d.where("false"), m).count() == 0
