@@ -376,7 +376,7 @@ SOBER = (
 def abuse_model(spark):
     rng = random.Random(4)
     name = lambda: "".join(rng.choices("bdfgklmnprstvz", k=3)).title() + rng.choice(["ova", "ik", "net"])
-    rows = [(i, " ".join(rng.choice(SOBER).format(name()) for _ in range(3)) + (" " + TOXIC[i % 6].format(name()) if i % 3 == 0 else ""), int(i % 3 == 0) ^ (i % 40 == 7)) for i in range(360)]
+    rows = [(i, " ".join(rng.choice(SOBER).format(name()) for _ in range(3)) + (" " + TOXIC[i // 3 % 6].format(name()) if i % 3 == 0 else ""), int(i % 3 == 0) ^ (i % 97 == 7)) for i in range(600)]
     return abuse.fit_abuse_model(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
 
 
