@@ -8,7 +8,7 @@ of the union is held against it. Occurrences are deleted by looking up their lin
 Scale: texts are cut into lines once, in place; what moves are ids and hashes, and of the lines' words only those of keys that may be
 variants. Variants share their first or their last words (marks), so a key goes on only if its marks together stand in as many documents
 as are needed, or if it shares a mark with such a key. Lookups of keys first pass a filter of fixed size that every executor holds (at most
-2**FILTER_BITS bits), then an exact join. Counts are combined before the shuffle and every later row is one key, not one line.
+2**session.FILTER_BITS bits), then an exact join. Counts are combined before the shuffle and every later row is one key, not one line.
 
 Defined results: null and empty texts have no lines and don't count as documents; a document without site and host belongs to none;
 repeated rows of a docid count once.
@@ -21,14 +21,12 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import host_key, stored
+from ..session import host_key, may_have, stored
 
 MIN_DOCS = 5
 MIN_SHARE = 0.05
 #: Words from which one added or changed word makes a line no other.
 MIN_WORDS = 4
-#: Size of the filter in front of lookups of keys.
-FILTER_BITS = 23
 
 
 def _accent_tables() -> tuple[str, str]:
@@ -85,22 +83,6 @@ def line_table(docs: DataFrame) -> DataFrame:
     return x.unionByName(t.select("docid", *none))
 
 
-def may_have(rows: DataFrame, key: str, members: DataFrame, member_key: str, bits: int = FILTER_BITS) -> DataFrame:
-    """The rows whose key (bigint) may be among the members: all that are, and few others while members are fewer than the bits.
-
-    The members' hashes become a bitmap of at most 2**(bits - 6) rows of 64 bits, whatever their number; only that is broadcast.
-    """
-
-    def at(c: str) -> tuple[Column, Column]:
-        h = F.xxhash64(c, F.lit(29))
-        return F.shiftright(h, 6).bitwiseAND((1 << (bits - 6)) - 1), F.expr(f"shiftleft(1L, cast(xxhash64({c}, 29) & 63 as int))")
-
-    i, b = at(member_key)
-    m = members.select(i.alias("_i"), b.alias("_b")).groupBy("_i").agg(F.bit_or("_b").alias("_bits"))
-    i, b = at(key)
-    return rows.withColumns({"_i": i, "_b": b}).join(F.broadcast(m), "_i").where(F.col("_bits").bitwiseAND(F.col("_b")) != 0).drop("_i", "_b", "_bits")
-
-
 def _patterns(keys: DataFrame) -> DataFrame:
     """site, key, docs, need, pat, gives, takes: what one word's change, loss or gain leaves of a line.
 
