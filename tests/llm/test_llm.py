@@ -334,15 +334,16 @@ def test_permutation_and_quotas():
     q = mixing.quotas({"a": (1000, 10), "b": (100, 1)}, {"a": (0.5, 1), "b": (0.5, 4), "c": (0.2, 3)})
     assert q["c"] == 0
     assert q["a"] == q["b"] <= 4
-    draws = mixing.draw_shards({"a": 37, "b": 11}, slots=10)
-    total: dict = {}
-    per_shard: dict = {}
-    for shard, s, start, n in draws:
-        assert start == total.get(s, 0)
-        total[s] = start + n
-        per_shard[shard] = per_shard.get(shard, 0) + n
-    assert total == {"a": 37, "b": 11}
-    assert sorted(per_shard.values()) == [8, 10, 10, 10, 10]
+    for quota, slots in ((np.array([37, 11]), 10), (np.array([500, 3, 97, 1]), 16), (np.array([5]), 4)):
+        shards = range(-(-int(quota.sum()) // slots))
+        m = np.stack([mixing.draw_shard(i, quota, slots) for i in shards])
+        assert m.sum(axis=1).tolist() == [min(slots, int(quota.sum()) - i * slots) for i in shards]
+        drawn = m.sum(axis=0)
+        got = set()
+        for k, n in enumerate(drawn):
+            to, no = mixing.settled(mixing.permute(np.arange(n), int(n), 3) if n else np.zeros(0, np.int64), k, drawn, quota)
+            got |= set(zip(to.tolist(), no.tolist(), strict=True))
+        assert got == {(k, j) for k, q in enumerate(quota.tolist()) for j in range(q)}
 
 
 def test_mixture(spark):
@@ -356,6 +357,8 @@ def test_mixture(spark):
     assert abs(per["a"][0] / (per["a"][0] + per["b"][0]) - 0.6) < 0.02
     assert per["b"][1] + 1 <= 6
     assert m.groupBy("source", "pass_no", "block_no").agg(F.count_distinct("shard", "slot").alias("n")).where("n > 1").count() == 0
+    assert m.groupBy("shard").agg(F.count_distinct("slot").alias("n"), (F.max("slot") + 1).alias("k")).where("n != k").isEmpty()
+    assert mixing.mixture(docs.where("false"), targets).isEmpty()
     pieces = mixing.block_pieces(bpe.token_counts(docs.where("source = 'a'")), 32)
     sizes = [r.n for r in pieces.groupBy("block_no").agg(F.sum(F.col("tok_to") - F.col("tok_from")).alias("n")).orderBy("block_no").collect()]
     assert all(x == 32 for x in sizes[:-1])
