@@ -55,6 +55,21 @@ def test_body_density():
     assert article.link_share({"linkToTextRatio": "x/0"}) is None
 
 
+def test_subtree_selects_and_threshold_cuts():
+    m = article.LineModel({}, -0.2)
+    teaser, text = "A long teaser of another story that reads like the article itself. " * 6, "A paragraph of the page's own article with many words in it. " * 6
+    page = [("html/body/article/p", text), ("html/body/div/aside/a", teaser), ("html/body/article/p", text), ("html/body/article/p", "1")]
+    lines = article.lines_of("\n".join(x for _, x in page))
+
+    def mask(paths):
+        notes = [{"spanstart": s, "spanend": s + len(x) - 1, "type": "TextBlock", "features": {"domPath": p, "linkToTextRatio": f"0/{len(x)}"}} for (s, x), p in zip(lines, paths, strict=True)]
+        return article.body_mask(lines, notes, m)
+
+    assert mask([p for p, _ in page]) == [True, False, True, False]  # outside the subtree; too thin for the threshold
+    assert mask(["html/body/article/p"] * 4) == [True, True, True, False]
+    assert mask(["html/body/div/aside/a"] * 4) == [False] * 4
+
+
 def test_furniture_lines_edge_cases(spark):
     d = news(spark, [(1, None), (2, ""), (3, " \n\t"), (4, "word " * 200_000)]).withColumn("body", F.lit(1))
     got = article.furniture_lines(d).collect()
