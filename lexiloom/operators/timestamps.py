@@ -1,14 +1,19 @@
 """Mixed timestamp formats and zones to one UTC instant.
 
-StampReader reads one string into a wall time and, if given, its offset or zone; estimate_zones chooses the offset history (an
-IANA zone) of wall times without one from the order of events; to_utc converts. Reading dozens of formats is branching text work,
-so it runs in Arrow batches; everything else is joins and one small aggregation. Defined results: null, blank, date without time of
+read_stamp reads one string into a wall time and, if given, its offset or zone. estimate_zones chooses the offset history (an IANA zone)
+of a site's wall times without one by aligning them with the record's other stamp, where that has a zone: publication comes before
+reading, which comes before arrival. How long each usually takes is learned from records whose stamps both have zones, so a zone an hour
+off shows as order violations or as lags nobody has. A declared zone holds unless the order of its records contradicts it; where none is
+declared, the estimate decides. to_utc converts. Reading dozens of formats is branching text work, so it runs in Arrow batches; everything
+else is joins and small aggregations. Defined results: null, blank, date without time of
 day, impossible dates, placeholders and years before 1990 give null, as do wall times that occur twice or never at a clock change.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
+import math
 import re
 import zoneinfo
 from collections.abc import Iterator
@@ -18,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import host_key
+from ..session import host_key, stored
 
 US = 1_000_000
 FIRST_YEAR = 1990
@@ -143,32 +148,32 @@ def read_stamp(text: str | None, order: str | None, zone: str | None) -> tuple[i
     return None if minutes is None else (wall, wall - minutes * 60 * US, None)
 
 
-_LONG = "docid long, key string, field string, wall_us long, utc_us long, declared string, lower_us long, upper_us long"
+_LONG = "docid long, key string, field string, wall_us long, utc_us long, declared string, zoneless boolean, other_us long, arrived_us long"
+_KINDS = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64())
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out: list[list] = [[] for _ in range(8)]
+        out: list[list] = [[] for _ in _KINDS]
         for docid, key, tz, crawl, order, arrived, pubdate, time in zip(*(c.to_pylist() for c in b.columns), strict=True):
             p, t = read_stamp(pubdate, order, tz), read_stamp(time, order, crawl)
-            for field, x, zone, lower, upper in (("pubdate", p, tz, None, t[1] if t and t[1] else arrived), ("time", t, crawl, p[1] if p else None, arrived)):
+            for field, x, zone, other in (("pubdate", p, tz, t and t[1]), ("time", t, crawl, p and p[1])):
                 if x:
                     wall, us, named = x
-                    if us is None and named is None and zone:
-                        us = to_utc(wall, zone)
-                    elif us is None and named is not None:
+                    if us is None and named is not None:
                         continue  # a named zone in which the wall time occurs twice or never
-                    for column, value in zip(out, (docid, key, field, wall, us, zone, lower, upper), strict=True):
+                    zoneless = us is None
+                    if zoneless and zone:
+                        us = to_utc(wall, zone)
+                    for column, value in zip(out, (docid, key, field, wall, us, zone, zoneless, other, arrived), strict=True):
                         column.append(value)
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
-        names = [x.split()[0] for x in _LONG.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _KINDS, strict=True)], [x.split()[0] for x in _LONG.split(", ")])
 
 
 def normalise_stamps(records: DataFrame, sites: DataFrame) -> DataFrame:
-    """The stamps of records in long form: docid, key, field, wall_us, utc_us, declared (zone), lower_us, upper_us.
+    """The stamps of records in long form: docid, key, field, wall_us, utc_us, declared (zone), zoneless, other_us, arrived_us.
 
-    records: docid, siteid, domainname, pubdate, time, arrived. utc_us is null where the zone of a wall time isn't declared in sites,
+    records: docid, siteid, domainname, pubdate, time, arrived. other_us is the record's other stamp if it fixes its instant itself. utc_us is null where the zone of a wall time isn't declared in sites,
     or the wall time is ambiguous there. key is the record's site (siteid, else the site of its host, else the host).
     """
     s = sites.select(F.col("siteid").alias("key"), host_key(F.col("domainname")).alias("s_host"), "tz", "crawltz", "dateorder").dropDuplicates(["key"])
@@ -185,36 +190,60 @@ def zone_pool(sites: DataFrame) -> list[str]:
     return sorted(r[0] for r in sites.select(F.explode(F.array("tz", "crawltz")).alias("zone")).where("zone is not null").distinct().collect())
 
 
-def estimate_zones(walls: DataFrame, zones: list[str]) -> DataFrame:
-    """Chooses for each key and field the offset history with the fewest order violations of its zoneless wall times.
+#: Borders of the lag classes in minutes; a lag below the first is an order violation.
+LAGS = (-2, 5, 15, 30, 45, 60, 75, 90, 105, 120, 150, 180, 240, 360, 720, 1440)
+#: A declared zone gives way where at least so many aligned wall times are in disorder under it, most of them, and nearly none under another.
+VETO = 20
+
+
+def lag_weights(long: DataFrame) -> list[float]:
+    """Log probabilities of the classes of the lag between publication and reading, from the records whose stamps both have zones."""
+    lag = (F.col("other_us") - F.col("utc_us")) / (60 * US)
+    x = long.where("field = 'pubdate' and not zoneless and other_us is not null and utc_us is not null")
+    c = F.size(F.filter(F.array(*[F.lit(float(v)) for v in LAGS]), lambda v: v <= lag)).alias("c")
+    n = {r["c"]: r["n"] for r in x.groupBy(c).agg(F.count("*").alias("n")).collect()}
+    total = sum(v for k, v in n.items() if k) + len(LAGS)
+    return [math.log(1e-4), *(math.log((n.get(k, 0) + 1.0) / total) for k in range(1, len(LAGS) + 1))]
 
-    walls: key, field, wall_us, lower_us, upper_us (bounds known from ingestion time or a zoned stamp of the same record; null:
-    none). zones: the candidates. Result: key, field, zone, n_walls, violations, lag_s. Ties go to the smaller mean distance from
-    the nearest bound, then to the name. Each batch sends sums per key and zone only.
+
+def estimate_zones(long: DataFrame, zones: list[str], weights: list[float]) -> DataFrame:
+    """The fit of every candidate zone to the zoneless wall times of each key and field: key, field, zone, n_walls, n_aligned, violations, misfit.
+
+    n_aligned: wall times whose record's other stamp has a zone; the others are held against arrival only. violations: order
+    violations. misfit: minus the log probability of the lags. Each batch sends sums per key and zone only.
     """
-    schema = "key string, field string, zone string, n long, bad long, lag double"
+    schema = "key string, field string, zone string, n long, aligned long, bad long, misfit double"
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sums: dict[tuple, list] = {}
-            for key, field, wall, lower, upper in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for key, field, wall, other, arrived in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for zone in zones:
                     u = to_utc(wall, zone)
                     if u is not None:
-                        x = sums.setdefault((key, field, zone), [0, 0, 0.0])
+                        x = sums.setdefault((key, field, zone), [0, 0, 0, 0.0])
+                        late = arrived is not None and u > arrived
+                        c = len(LAGS)
+                        if other is not None:
+                            c = bisect.bisect_right(LAGS, ((other - u) if field == "pubdate" else (u - other)) / (60 * US))
+                            x[1] += 1
+                            x[3] -= weights[c]
                         x[0] += 1
-                        x[1] += (upper is not None and u > upper) + (lower is not None and u < lower)
-                        x[2] += min([abs(u - e) for e in (lower, upper) if e is not None], default=0) / US
+                        x[2] += late or c == 0
+                        x[3] -= weights[0] if late else 0.0
             rows = [(*k, *x) for k, x in sums.items()]
-            cols = list(zip(*rows, strict=True)) or [[] for _ in range(6)]
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64())
+            cols = list(zip(*rows, strict=True)) or [[] for _ in range(7)]
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
 
-    parts = walls.select("key", "field", "wall_us", "lower_us", "upper_us").mapInArrow(fit, schema)
-    lag = F.round(F.sum("lag") / F.sum("n"), 3).alias("lag_s")
-    sums = parts.groupBy("key", "field", "zone").agg(F.sum("n").alias("n_walls"), F.sum("bad").alias("violations"), lag)
-    best = F.min_by(F.struct("zone", "n_walls", "violations", "lag_s"), F.struct("violations", "lag_s", "zone")).alias("best")
-    return sums.groupBy("key", "field").agg(best).select("key", "field", "best.*")
+    parts = long.where("zoneless and key is not null").select("key", "field", "wall_us", "other_us", "arrived_us").mapInArrow(fit, schema)
+    return parts.groupBy("key", "field", "zone").agg(F.sum("n").alias("n_walls"), F.sum("aligned").alias("n_aligned"), F.sum("bad").alias("violations"), F.round(F.sum("misfit"), 6).alias("misfit"))
+
+
+def chosen_zones(fits: DataFrame) -> DataFrame:
+    """key, field, zone, n_walls, n_aligned, violations, misfit of the zone with the least misfit; ties go to the name."""
+    best = F.min_by(F.struct("zone", "n_walls", "n_aligned", "violations", "misfit"), F.struct("misfit", "zone")).alias("best")
+    return fits.groupBy("key", "field").agg(best).select("key", "field", "best.*")
 
 
 def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,25 +253,47 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(docid, pa.int64()), pa.array(field, pa.string()), pa.array(us, pa.int64())], ["docid", "field", "utc_us"])
 
 
+def declared_zones(sites: DataFrame) -> DataFrame:
+    """key, field, declared."""
+    return sites.select(F.col("siteid").alias("key"), F.explode(F.create_map(F.lit("pubdate"), "tz", F.lit("time"), "crawltz")).alias("field", "declared")).dropDuplicates(["key", "field"])
+
+
 def stamps_utc(records: DataFrame, sites: DataFrame) -> DataFrame:
     """docid, field, utc_us: each stamp that denotes one instant, once. Repeated rows of a record give one row.
 
-    A wall time without zone takes the zone declared for its site; where none is declared, the one estimate_zones chooses among
-    all declared zones by arrival and by zoned stamps of the same records.
+    A wall time without zone takes the zone declared for its site, unless the order of at least VETO of its records contradicts that
+    zone and not the estimated one; where none is declared, the one estimate_zones chooses among all declared zones.
     """
-    long = normalise_stamps(records, sites)
-    open_ = long.where("utc_us is null and declared is null and key is not null")
-    guess = estimate_zones(open_, zone_pool(sites)).select("key", "field", "zone")
-    guessed = open_.join(guess, ["key", "field"]).select("docid", "field", "wall_us", "zone").mapInArrow(_convert, "docid long, field string, utc_us long")
-    return long.select("docid", "field", "utc_us").unionByName(guessed).where("utc_us is not null").distinct()
+    long = stored(normalise_stamps(records, sites), "stamps")
+    fits = stored(estimate_zones(long, zone_pool(sites), lag_weights(long)), "fits")
+    best = chosen_zones(fits)
+    told = declared_zones(sites).join(fits.select("key", "field", F.col("zone").alias("declared"), F.col("n_aligned").alias("n"), F.col("violations").alias("bad")), ["key", "field", "declared"])
+    wrong = best.join(told, ["key", "field"], "left").where(F.col("n").isNull() | ((F.col("n_aligned") >= VETO) & (F.col("bad") * 2 > F.col("n_walls")) & (F.col("violations") * 10 < F.col("n_walls"))))
+    wrong = wrong.join(declared_zones(sites).where("declared is not null").select("key", "field", F.lit(True).alias("is_told")), ["key", "field"], "left").where("is_told is null or n is not null")
+    wrong = stored(wrong.select("key", "field", F.col("zone").alias("guess")), "zones")  # a row for a site without a zone that holds
+    open_ = long.where("zoneless").join(wrong, ["key", "field"])
+    guessed = open_.select("docid", "field", "wall_us", "guess").mapInArrow(_convert, "docid long, field string, utc_us long")
+    sure = long.join(wrong.withColumn("zoneless", F.lit(True)), ["key", "field", "zoneless"], "left_anti").select("docid", "field", "utc_us")
+    return sure.unionByName(guessed).where("utc_us is not null").distinct()
 
 
 def zone_report(records: DataFrame, sites: DataFrame) -> DataFrame:
-    """key, field, zone, n_walls, violations, lag_s, declared: what the estimate alone chooses, beside the declared zone.
+    """key, field, zone, n_walls, n_aligned, violations, misfit, declared, n_same: what the estimate alone chooses, beside the declared zone.
 
-    Uses the wall times that carry no zone themselves, as if none were declared.
+    Uses the wall times that carry no zone themselves, as if none were declared. n_same: how many of them both zones turn into the
+    same instant; zones of one offset history differ in name only.
     """
     plain = sites.select("siteid", "domainname", F.lit(None).cast("string").alias("tz"), F.lit(None).cast("string").alias("crawltz"), "dateorder")
-    walls = normalise_stamps(records, plain).where("utc_us is null and key is not null")
-    declared = sites.select(F.col("siteid").alias("key"), F.explode(F.create_map(F.lit("pubdate"), "tz", F.lit("time"), "crawltz")).alias("field", "declared"))
-    return estimate_zones(walls, zone_pool(sites)).join(declared, ["key", "field"], "left")
+    long = stored(normalise_stamps(records, plain), "stamps")
+    best = stored(chosen_zones(estimate_zones(long, zone_pool(sites), lag_weights(long))).join(declared_zones(sites), ["key", "field"], "left"), "zones")
+    schema = "key string, field string, same int"
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, field, wall, zone, told = (c.to_pylist() for c in b.columns)
+            same = [int(to_utc(w, z) == to_utc(w, t)) for w, z, t in zip(wall, zone, told, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), pa.array(field, pa.string()), pa.array(same, pa.int32())], ["key", "field", "same"])
+
+    walls = long.where("zoneless").join(best.where("declared is not null").select("key", "field", "zone", F.col("declared").alias("told")), ["key", "field"])
+    same = walls.select("key", "field", "wall_us", "zone", "told").mapInArrow(compare, schema).groupBy("key", "field").agg(F.sum("same").alias("n_same"))
+    return best.join(same, ["key", "field"], "left")

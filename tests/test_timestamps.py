@@ -1,6 +1,6 @@
 """Readers, zones and defined results of timestamp normalisation."""
 
-from datetime import datetime, timezone
+from datetime import UTC, datetime, timedelta
 
 import pytest
 
@@ -8,7 +8,7 @@ from lexiloom.operators import timestamps as T
 
 
 def us(*a, micro=0):
-    return int(datetime(*a, tzinfo=timezone.utc).timestamp()) * 1_000_000 + micro
+    return int(datetime(*a, tzinfo=UTC).timestamp()) * 1_000_000 + micro
 
 
 @pytest.mark.parametrize(
@@ -76,3 +76,25 @@ def test_table(spark):
     assert got[4, "pubdate"] == us(2019, 1, 1, 11)  # the estimate: in UTC it would lie after its fetch
     assert not [k for k in got if k[0] == 3]
     assert T.stamps_utc(docs.where("false"), sites).count() == 0
+
+
+def test_estimated_zones_match_and_veto(spark):
+    zones = ["Europe/Berlin", "America/New_York", "UTC", "Asia/Kolkata"]
+    rows, n = [], 0
+    for k, zone in enumerate(zones):
+        tz = T.zone_of(zone)
+        for i in range(60):
+            pub = datetime(2019, 1, 3, 6, tzinfo=UTC) + timedelta(days=5 * i, minutes=7 * i)
+            read = pub + timedelta(minutes=(3, 9, 40, 200)[i % 4])
+            wall = pub.astimezone(tz).strftime("%Y-%m-%d %H:%M") if i % 3 else pub.strftime("%Y-%m-%dT%H:%M:00Z")
+            rows.append((n, f"s{k}", None, wall, read.strftime("%Y-%m-%dT%H:%M:00Z"), (read + timedelta(days=9)).replace(tzinfo=None)))
+            n += 1
+    docs = spark.createDataFrame(rows, "docid long, siteid string, domainname string, pubdate string, time string, arrived timestamp")
+    table = lambda tz: spark.createDataFrame([(f"s{k}", f"s{k}.example", tz[k], "UTC", "DMY") for k in range(4)], "siteid string, domainname string, tz string, crawltz string, dateorder string")
+    report = {(r.key, r.field): r for r in T.zone_report(docs, table(zones)).collect()}
+    assert all(report[f"s{k}", "pubdate"].n_same >= 0.95 * report[f"s{k}", "pubdate"].n_walls for k in range(4))
+    right = {tuple(r) for r in T.stamps_utc(docs, table(zones)).collect()}
+    wrong = ["America/New_York", *zones[1:3], None]  # six hours off, so nearly all records would be read before they appear; not declared
+    sites = table(wrong).unionByName(table(zones).where("siteid = 's3'").withColumn("siteid", T.F.lit("elsewhere")).withColumn("domainname", T.F.lit(None).cast("string")))
+    sites = sites.unionByName(sites.where("siteid = 'elsewhere'").select(T.F.lit("more").alias("siteid"), "domainname", T.F.lit("Europe/Berlin").alias("tz"), "crawltz", "dateorder"))
+    assert {tuple(r) for r in T.stamps_utc(docs, sites).collect()} == right
