@@ -32,6 +32,10 @@ def p2_found(s: SparkSession, d: str) -> DataFrame:
     return repeats.find_repeats(_news(s, d), _written(s, d))
 
 
+def p2_newest(s: SparkSession, d: str) -> DataFrame:
+    return repeats.newest_batch_repeats(_news(s, d), _written(s, d))
+
+
 def p4_found(s: SparkSession, d: str) -> DataFrame:
     return encoding.garbled_lines(_news(s, d), _written(s, d)).select("docid", "line_no")
 
@@ -89,5 +93,5 @@ def p10_heldout(s: SparkSession, d: str) -> DataFrame:
     return abuse.held_out(table(s, d, "documents"), table(s, d, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_documents, p2_found, p4_found, p4_repaired, p5_found, p5_sizes, p6_found, p6_texts, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates, p10_heldout)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_documents, p2_found, p2_newest, p4_found, p4_repaired, p5_found, p5_sizes, p6_found, p6_texts, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates, p10_heldout)}
 ORACLES: dict[str, str] = {}

@@ -18,15 +18,17 @@ as identical texts, or (from four words on) as the beginning of a text at the sa
 from __future__ import annotations
 
 import hashlib
+import os
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, hash_sample, shared_dir, stored
+from ..session import cut, may_have, shared_dir, stored
 from .article import _TOKEN, LineModel, body_mask, fit_line_model, fold, mended_lines
 
 #: Share of an article's words that may differ: about one in eight, with room for a line the body model mistakes.
@@ -43,9 +45,10 @@ PIECE = 6
 FAMILY = 64
 #: Ids (8 bytes each) that may be broadcast at once.
 BROADCAST_IDS = 1_000_000
-#: Documents on which the list of common words is fitted, and the share of them that makes a word common.
-FIT_DOCS = 3000
+#: Share of all articles that makes a word common.
 COMMON = 0.006
+#: Parts of the stored articles; a batch reads only those that hold a candidate.
+PARTS = 64
 
 
 def article_words(text: str | None, notes: list | None, title: str | None, model: LineModel) -> list[str]:
@@ -185,9 +188,12 @@ def records(docs: DataFrame, written: DataFrame, model: LineModel) -> DataFrame:
     return j.withColumn("tkey", F.when(F.col("norm").isNotNull(), F.xxhash64("norm")))
 
 
-def common_words(recs: DataFrame, fit_docs: int = FIT_DOCS, share: float = COMMON) -> frozenset[str]:
-    """Words that at least this share of a bounded sample of articles has; at most (mean distinct words / share) words."""
-    s = hash_sample(recs.where("norm is not null"), "docid", fit_docs)
+def common_words(recs: DataFrame, share: float = COMMON) -> frozenset[str]:
+    """Words that at least this share of all articles has: at most (mean distinct words / share) words, however many articles there are.
+
+    Counts are combined map-side, so a task sends one row a word.
+    """
+    s = recs.where("norm is not null")
     n = s.count()
     df = s.select(F.explode(F.array_distinct(F.split("norm", " "))).alias("w")).groupBy("w").count().where(F.col("count") >= max(4, n * share))
     return frozenset(r["w"] for r in df.collect())
@@ -359,42 +365,111 @@ def settle(recs: DataFrame, near: DataFrame, heads: DataFrame) -> DataFrame:
 def find_repeats(docs: DataFrame, written: DataFrame) -> DataFrame:
     """docid_a, docid_b: one row for each record b that repeats an accepted record a < b."""
     recs = stored(records(docs, written, fit_line_model(docs)), "records")
+    return repeats_among(recs, common_words(recs))
+
+
+class SegmentIndex:
+    """The accepted records of all committed batches: ids (docid, hash, url, tkey), texts (tkey, norm, part) and segments (h, tkey).
+
+    A batch's tables are written first and its commit last; what a broken run left behind is not read, and written anew. A new batch reads
+    of the history the narrow ids and segments, which pass a filter of fixed size where they lie, and of the texts the parts that hold
+    its candidates.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def batches(self) -> list[int]:
+        glob = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/batch=*/_SUCCESS")
+        found = glob.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(glob) or []
+        return sorted(int(f.getPath().getParent().getName()[6:]) for f in found)
+
+    def read(self, name: str, schema: str) -> DataFrame:
+        paths = [f"{self.path}/{name}/batch={n}" for n in self.batches()]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def ids(self) -> DataFrame:
+        return self.read("ids", "docid long, hash string, url string, tkey long").select("docid", "hash", "url", "tkey")
+
+    def texts(self) -> DataFrame:
+        return self.read("texts", "tkey long, norm string, part int").select("tkey", "norm", "part")
+
+    def segments(self, kind: str) -> DataFrame:
+        return self.read("segments", "h long, tkey long, kind string").where(F.col("kind") == kind).select("h", F.col("tkey").alias("o"))
+
+    def commit(self, taken: DataFrame, common: frozenset[str]) -> None:
+        """Adds accepted records (docid, hash, url, tkey, norm) as the next batch."""
+        n = max(self.batches(), default=0) + 1
+        one = taken.where("tkey is not null").groupBy("tkey").agg(F.min("docid").alias("first"), F.first("norm").alias("norm"))
+        one = stored(one, "accepted")
+        to = lambda name: f"{self.path}/{name}/batch={n}"
+        part = F.pmod("tkey", F.lit(PARTS)).cast("int").alias("part")
+        one.select("tkey", "norm", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(to("texts"))
+        segment_keys(one.where(F.size(F.split("norm", " ")) >= MIN_WORDS), common).select("h", "tkey", "kind").write.mode("overwrite").partitionBy("kind").parquet(to("segments"))
+        taken.select("docid", "hash", "url", "tkey").write.mode("overwrite").parquet(to("ids"))
+        self.spark.range(1).write.mode("overwrite").parquet(to("commits"))
+
+
+def start_index(index_dir: str, docs: DataFrame, written: DataFrame, model: LineModel) -> tuple[frozenset[str], DataFrame]:
+    """Loads a first, large batch into an empty index; returns the list of common words that later batches keep, and the batch's repeats."""
+    recs = stored(records(docs, written, model), "records")
+    common = common_words(recs)
+    found = cut(repeats_among(recs, common))
+    SegmentIndex(docs.sparkSession, index_dir).commit(recs.join(found.select(F.col("docid_b").alias("docid")), "docid", "left_anti"), common)
+    return common, found
+
+
+def repeats_among(recs: DataFrame, common: frozenset[str]) -> DataFrame:
+    """docid_a, docid_b of records (docid, hash, url, norm, tkey) that are compared with each other."""
     one = recs.where("tkey is not null").groupBy("tkey").agg(F.min("docid").alias("first"))
     texts = stored(recs.select("docid", "norm").join(one.select("first", F.col("tkey").alias("k")), F.col("docid") == F.col("first")).select(F.col("k").alias("tkey"), "first", "norm"), "texts")
-    return settle(recs, near_links(texts, common_words(recs)), address_links(recs, texts))
+    return settle(recs, near_links(texts, common), address_links(recs, texts))
 
 
 def append_batch(index_dir: str, docs: DataFrame, written: DataFrame, model: LineModel, common: frozenset[str]) -> DataFrame:
     """Checks one batch against the index below index_dir, appends what it accepts, and returns docid_a, docid_b of its repeats.
 
-    The index holds ids, hashes, addresses and segments of accepted records; of the stored articles only those of candidates are
-    read. Batches are given in order; model and common stay those the index was begun with.
+    Batches are given in order; model and common stay those the index was begun with. Records whose docid is stored already are skipped.
     """
-    spark = docs.sparkSession
-    shared_dir(spark)
+    index = SegmentIndex(docs.sparkSession, index_dir)
     new = stored(records(docs, written, model), "batch")
-    try:
-        old = spark.read.parquet(f"{index_dir}/records")
-        seg = spark.read.parquet(f"{index_dir}/segments")
-    except Exception as e:  # noqa: BLE001 - the first batch has no index
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = new.where("false")
-        seg = segment_keys(new.where("false").select("tkey", F.col("docid").alias("first"), "norm"), common)
-    new = new.join(old.select("docid"), "docid", "left_anti")
-    texts = new.where("tkey is not null").groupBy("tkey").agg(F.min("docid").alias("first"), F.first("norm").alias("norm"))
-    keys = cut(segment_keys(texts, common))
-    hits = [keys.where("kind = 'p'").join(seg.where("kind = 'i'").select("h", F.col("tkey").alias("o")), "h"), keys.where("kind = 'i'").join(seg.where("kind = 'p'").select("h", F.col("tkey").alias("o")), "h")]
-    near_old = hits[0].select("tkey", "o").unionByName(hits[1].select("tkey", "o")).where("tkey != o").distinct()
-    touched = old.join(new.select("hash").where("hash is not null").distinct(), "hash", "left_semi").select("docid")
-    touched = touched.unionByName(old.join(new.select("url").where("url is not null").distinct(), "url", "left_semi").select("docid"))
-    touched = touched.unionByName(old.join(new.select("tkey").where("tkey is not null").distinct(), "tkey", "left_semi").select("docid"))
-    touched = touched.unionByName(old.join(near_old.select(F.col("o").alias("tkey")).distinct(), "tkey", "left_semi").select("docid")).distinct()
-    both = stored(old.join(touched, "docid").unionByName(new), "both")
-    one = both.where("tkey is not null").groupBy("tkey").agg(F.min("docid").alias("first"), F.first("norm").alias("norm"))
-    found = settle(both, near_links(one, common), address_links(both, one)).join(new.select(F.col("docid").alias("docid_b")), "docid_b").select("docid_a", "docid_b")
+    ids = index.ids()
+    new = stored(new.join(may_have(ids, "docid", new, "docid").select("docid"), "docid", "left_anti"), "new")
+    texts = new.where("tkey is not null").groupBy("tkey").agg(F.first("norm").alias("norm"), F.min("docid").alias("first"))
+    keys = stored(segment_keys(texts.where(F.size(F.split("norm", " ")) >= MIN_WORDS), common), "keys")
+    near = None
+    for mine, theirs in (("p", "i"), ("i", "p")):
+        k = keys.where(F.col("kind") == mine).select("h").distinct()
+        x = may_have(index.segments(theirs), "h", k, "h").join(k, "h", "left_semi").select(F.col("o").alias("tkey"))
+        near = x if near is None else near.unionByName(x)
+    near = near.unionByName(new.where("tkey is not null").select("tkey")).distinct()
+    old = None
+    for rows, key in ((new.select("hash"), "hash"), (new.select("url"), "url"), (near, "tkey")):
+        rows = rows.where(F.col(key).isNotNull()).distinct()
+        x = may_have(ids, key, rows, key).join(rows, key, "left_semi").select("docid", "hash", "url", "tkey")
+        old = x if old is None else old.unionByName(x)
+    old = stored(old.distinct(), "touched")
+    parts = [r["part"] for r in old.where("tkey is not null").select(F.pmod("tkey", F.lit(PARTS)).alias("part")).distinct().collect()]  # at most PARTS
+    norms = index.texts().where(F.col("part").isin(parts)).join(old.select("tkey").distinct(), "tkey", "left_semi").select("tkey", "norm")
+    both = stored(old.join(norms, "tkey", "left").select(*new.columns).unionByName(new), "both")
+    found = repeats_among(both, common).join(new.select(F.col("docid").alias("docid_b")), "docid_b").select("docid_a", "docid_b")
     found = cut(found)
-    taken = new.join(found.select(F.col("docid_b").alias("docid")), "docid", "left_anti")
-    taken.write.mode("append").parquet(f"{index_dir}/records")
-    segment_keys(taken.where("tkey is not null").groupBy("tkey").agg(F.min("docid").alias("first"), F.first("norm").alias("norm")), common).write.mode("append").parquet(f"{index_dir}/segments")
+    index.commit(new.join(found.select(F.col("docid_b").alias("docid")), "docid", "left_anti"), common)
     return found
+
+
+def newest_batch_repeats(docs: DataFrame, written: DataFrame) -> DataFrame:
+    """docid_a, docid_b of the newest batch (by batchno), checked against an index of all earlier ones.
+
+    A record delivered in several batches belongs to the first of them.
+    """
+    spark = docs.sparkSession
+    path = os.path.join(shared_dir(spark), f"index-{uuid.uuid4().hex}")
+    model = fit_line_model(docs)
+    batch = stored(written.groupBy("docid").agg(F.min("batchno").alias("batchno")), "batches")
+    last = batch.agg(F.max("batchno")).first()[0]
+    newest = batch.where(F.col("batchno") == F.lit(last)).select("docid")
+    common, _ = start_index(path, docs.join(newest, "docid", "left_anti"), written.join(newest, "docid", "left_anti"), model)
+    return append_batch(path, docs.join(newest, "docid", "left_semi"), written.join(newest, "docid", "left_semi"), model, common)
+
+

@@ -175,6 +175,16 @@ def test_batches_give_what_one_run_gives(spark, tmp_path):
     one = recs.where("tkey is not null").groupBy("tkey").agg(F.min("docid").alias("first"), F.first("norm").alias("norm"))
     whole = {r.docid_b: r.docid_a for r in repeats.settle(recs, repeats.near_links(one, common), repeats.address_links(recs, one)).collect()}
     assert got == whole
+    index = repeats.SegmentIndex(spark, str(tmp_path / "ix"))
+    assert index.batches() == [1, 2, 3]
+    assert index.ids().count() == 61 - len(whole)
+    # a batch broken off before its commit is not read and can be repeated
+    (tmp_path / "ix" / "commits" / "batch=3" / "_SUCCESS").unlink()
+    assert index.batches() == [1, 2]
+    part = F.col("docid") > 50
+    again = {r.docid_b: r.docid_a for r in repeats.append_batch(str(tmp_path / "ix"), docs.where(part), meta.where(part), model, common).collect()}
+    assert again == {b: a for b, a in whole.items() if b > 50}
+    assert index.ids().count() == 61 - len(whole)
 
 
 def test_hot_segment_compares_all_pairs(spark, monkeypatch):
