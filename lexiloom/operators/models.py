@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, stored
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -80,13 +80,30 @@ def centroids(rows: DataFrame, group: str, vec: str, kind: str = "avg") -> DataF
     return c.withColumn("v", F.col("v") / F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(group)))) if kind == "nrml2" else c
 
 
+def unit_rows(rows: DataFrame, vec: str) -> DataFrame:
+    """rows whose vector is scaled to length 1; those of length 0 or without a vector go."""
+    x = rows.withColumn("_n", norm(F.col(vec))).where("_n > 0")
+    return x.withColumn(vec, F.transform(F.col(vec), lambda v: v.cast("double") / F.col("_n"))).drop("_n")
+
+
+def centroid_table(rows: DataFrame, group: str, vec: str, kind: str = "avg", order: str | None = None) -> DataFrame:
+    """One row: cs, the array of (label, c) of all groups, by label. As large as groups times dimensions, whatever the rows."""
+    c = centroids(rows, group, vec, kind).groupBy(group).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("c"))
+    return c.agg(F.array_sort(F.collect_list(F.struct(F.col(group).alias("label"), "c"))).alias("cs"))
+
+
+def best_of(x: Column, cs: Column, score=None) -> Column:
+    """struct(label, score) of the best entry of an array of (label, c); ties by rounding go to the first."""
+    score = score or cosine
+    each = F.transform(cs, lambda c: F.struct(score(x, c["c"]).alias("score"), c["label"].alias("label")))
+    return F.reduce(each, each[0], lambda a, b: F.when(F.round(b["score"], 9) > F.round(a["score"], 9), b).otherwise(a))
+
+
 def nearest_centroid(rows: DataFrame, group: str, vec: str, row: str, train: Column) -> DataFrame:
-    """row, label, score of the rows outside train: the centroid with the greatest cosine; ties by label."""
-    c = centroids(rows.where(train), group, vec).groupBy(group).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("c"))
-    t = rows.where(~train).select(row, F.col(vec).alias("x"))
-    j = t.join(F.broadcast(c)).select(row, F.col(group).alias("label"), cosine(F.col("x"), F.col("c")).alias("score"))  # one row per label
-    r = F.row_number().over(Window.partitionBy(row).orderBy(F.desc("score"), "label"))
-    return j.withColumn("rank", r).where("rank = 1").drop("rank")
+    """row, label, score of the rows outside train: the centroid with the greatest cosine; ties by label. Rows are not shuffled."""
+    c = centroid_table(rows.where(train), group, vec)
+    t = rows.where(~train).select(row, F.col(vec).alias("x")).join(F.broadcast(c))  # one row
+    return t.select(row, best_of(F.col("x"), F.col("cs")).alias("b")).where("b is not null").select(row, F.col("b.label").alias(group), "b.score").withColumnRenamed(group, "label")
 
 
 def naive_bayes(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -107,14 +124,6 @@ def naive_bayes(train: DataFrame, test: DataFrame) -> DataFrame:
     return rows.join(s, ["row", "label"], "left").select("row", "label", (F.col("prior") + F.coalesce("lp", F.lit(0.0))).alias("score"))
 
 
-def cv_folds(rows: DataFrame, row: str, k: int) -> DataFrame:
-    """row, fold: contiguous folds by position, their borders rounded half to even."""
-    n = rows.agg(F.count("*").alias("n"))
-    x = rows.select(row).withColumn("pos", F.row_number().over(Window.orderBy(row)) - 1).join(F.broadcast(n))
-    bounds = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.bround(i * F.col("n") / k, 0))
-    return x.select(row, F.size(F.filter(bounds, lambda b: b <= F.col("pos"))).alias("fold"))
-
-
 def confusion(pred: DataFrame, actual: str, predicted: str) -> DataFrame:
     return pred.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
 
@@ -133,14 +142,50 @@ def precision_recall(conf: DataFrame) -> DataFrame:
 def kmeans(rows: DataFrame, row: str, vec: str, seeds: DataFrame, rounds: int = 10) -> DataFrame:
     """row, cluster, score: spherical k-means with given seeds (cluster, c) and a fixed number of rounds; ties to the smaller cluster.
 
-    One aggregation per round; the k centroids are all that is ever broadcast.
+    Points are scaled and stored once. A round assigns them against one broadcast row of centroids, without a shuffle, and sums them in
+    one aggregation of clusters times dimensions rows; a cluster that loses all its points is gone.
     """
-    pts = rows.select(row, F.transform(F.col(vec), lambda x: x.cast("double") / norm(F.col(vec))).alias("x")).where(F.col("x").isNotNull())
-    c = seeds.select("cluster", F.transform("c", lambda x: x.cast("double") / norm(F.col("c"))).alias("c"))
+    pts = stored(unit_rows(rows.select(row, F.col(vec).alias("x")), "x"), "points")
+    unit = unit_rows(seeds.select("cluster", "c"), "c")
+    cs = unit.agg(F.array_sort(F.collect_list(F.struct(F.col("cluster").alias("label"), "c"))).alias("cs"))
     for i in range(rounds):
-        near = pts.join(F.broadcast(c)).groupBy(row).agg(F.max_by(F.struct("cluster", dot(F.col("x"), F.col("c")).alias("score")), F.struct(F.round(dot(F.col("x"), F.col("c")), 9), -F.col("cluster"))).alias("b"))
-        got = near.select(row, "b.cluster", "b.score")
+        got = pts.join(F.broadcast(cs)).select(row, "x", best_of(F.col("x"), F.col("cs"), dot).alias("b")).select(row, "x", F.col("b.label").alias("cluster"), "b.score")
         if i < rounds - 1:
-            s = centroids(pts.join(got, row), "cluster", "x", "nrml2")
-            c = cut(s.groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("c")))
-    return got
+            cs = cut(centroid_table(got, "cluster", "x", "nrml2"))
+    return got.drop("x")
+
+
+def mean_score(got: DataFrame) -> float:
+    """The quality of a clustering: the mean similarity of rows and their centroids."""
+    return float(got.agg(F.avg("score")).first()[0] or 0.0)
+
+
+def seed_sets(rows: DataFrame, row: str, vec: str, k: int, trial: int) -> DataFrame:
+    """cluster, c: of three pseudorandom choices of k rows the one whose rows are least alike on average."""
+    out = []
+    for j in range(3):
+        pick = rows.where(F.col(vec).isNotNull()).orderBy(F.xxhash64(F.lit(1000 * trial + j), F.col(row)), row).limit(k).select(row, vec).collect()  # k rows
+        x = np.array([[float(v) for v in r[vec]] for r in pick])
+        x = x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12) if len(x) else x
+        s = x @ x.T if len(x) else np.zeros((0, 0))
+        out.append((float(s[np.triu_indices(len(x), 1)].mean()) if len(x) > 1 else 0.0, j, x))
+    best = min(out, key=lambda t: t[:2])[2]
+    return rows.sparkSession.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(best)], "cluster int, c array<double>")
+
+
+def kmeans_trials(rows: DataFrame, row: str, vec: str, k: int, trials: int = 1, eps: float = 5e-4, most: int = 50) -> DataFrame:
+    """row, cluster, score: the best of several k-means runs, each going on until its quality gains at most eps."""
+    best, top = None, -2.0
+    for t in range(trials):
+        seeds, q = seed_sets(rows, row, vec, k, t), -2.0
+        for _ in range(most):
+            got = cut(kmeans(rows, row, vec, seeds, 1))
+            new = mean_score(got)
+            if new - q <= eps:
+                break
+            q = new
+            c = centroids(got.join(rows.select(row, vec), row), "cluster", vec, "nrml2")
+            seeds = cut(c.groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("c")))
+        if new > top:
+            best, top = got, new
+    return best

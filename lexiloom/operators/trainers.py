@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .models import centroids, dot, kmeans, norm
+from .models import best_of, centroids, dot, kmeans, norm
 
 
 def maxent(train: DataFrame, rounds: int = 50, cut_off: int = 0) -> DataFrame:
@@ -47,9 +47,9 @@ def batch_centroids(rows: DataFrame, label: str, vec: str, row: str, rounds: int
     for _ in range(rounds):
         packed = c.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("c"))
         unit = packed.select("label", F.transform("c", lambda v: v / F.greatest(norm(F.col("c")), F.lit(1e-12))).alias("c"))
-        score = pts.join(F.broadcast(unit)).select(row, "actual", "x", "label", F.round(dot(F.col("x"), F.col("c")), 9).alias("s"))  # rows by labels
-        best = score.groupBy(row).agg(F.max_by("label", F.struct("s", "label")).alias("label"))
-        wrong = pts.join(best, row).where("actual != label")
+        cs = unit.agg(F.sort_array(F.collect_list(F.struct("label", "c")), asc=False).alias("cs"))  # one row; ties go to the greater label
+        best = pts.join(F.broadcast(cs)).select(row, "actual", "x", best_of(F.col("x"), F.col("cs"), dot)["label"].alias("label"))
+        wrong = best.where("actual != label")
         delta = wrong.select(F.explode(F.array(F.struct(F.col("actual").alias("l"), F.lit(rate).alias("r")), F.struct(F.col("label").alias("l"), F.lit(-rate).alias("r")))).alias("d"), "x").select("d.l", "d.r", F.posexplode("x").alias("pos", "v"))
         moved = delta.groupBy(F.col("l").alias("label"), "pos").agg(F.sum(F.col("r") * F.col("v")).alias("dv"))
         c = cut(c.join(moved, ["label", "pos"], "left").select("label", "pos", (F.col("v") + F.coalesce("dv", F.lit(0.0))).alias("v")))

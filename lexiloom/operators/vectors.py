@@ -96,3 +96,9 @@ def near_fingerprints(fp: DataFrame, k: int = 3, row: str = "doc_id") -> DataFra
     o = t.select(F.col("id").alias("id2"), F.col("fingerprint").alias("f2"), "key")
     d = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("f2")))
     return t.join(o, "key").where((F.col("id") < F.col("id2")) & (d <= k)).select(F.col("id").alias("a"), F.col("id2").alias("b"), d.alias("distance")).distinct()
+
+
+def fingerprint_members(fp: DataFrame, row: str = "doc_id") -> DataFrame:
+    """row, representative: the smallest row of each fingerprint stands for all that have it in near_fingerprints."""
+    rep = fp.groupBy("fingerprint").agg(F.min(row).alias("representative"))
+    return fp.join(rep, "fingerprint").select(row, "representative")

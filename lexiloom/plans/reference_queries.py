@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import docmodel as D
+from ..operators import evaluation as E
 from ..operators import graph as G
 from ..operators import models as M
 from ..operators import vectors as V
@@ -113,9 +114,17 @@ def text_hashes(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").where("text is not null").select("doc_id", F.md5("text").alias("digest"), T.hash128(F.col("text")).alias("hash128"))
 
 
-@query()
+_BYTE = "xor(('0x' || substr(m, 2 * k + 1, 2))::INT, ('0x' || substr(m, 2 * k + 17, 2))::INT)"
+
+
+@query(f"WITH b AS (SELECT doc_id, k, {_BYTE} AS v FROM (SELECT doc_id, md5(text) AS m, unnest(range(8)) AS k FROM documents WHERE text IS NOT NULL)), h AS (SELECT doc_id, sum(v::HUGEINT << (8 * k)::INT) AS h FROM b GROUP BY doc_id) SELECT doc_id, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS hash64 FROM h")
 def text_hash64(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").where("text is not null").select("doc_id", T.hash64(F.col("text")).alias("hash64"), T.hash64(F.col("text"), "UTF-16LE").alias("hash64_utf16"))
+    return table(s, d, "documents").where("text is not null").select("doc_id", T.hash64(F.col("text")).alias("hash64"))
+
+
+@query()
+def text_hash64_utf16(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "documents").where("text is not null").select("doc_id", T.hash64(F.col("text"), "UTF-16LE").alias("hash64"))
 
 
 @query("SELECT min(doc_id) AS first_id, count(*) AS n, count(DISTINCT source) AS n_sources FROM documents WHERE text IS NOT NULL GROUP BY md5(text) HAVING count(*) > 1")
@@ -124,16 +133,24 @@ def exact_copies(s: SparkSession, d: str) -> DataFrame:
     return g.where("n > 1").drop("m")
 
 
-@query()
+_SIM = f"WITH {_TF}, w AS (SELECT term, md5(term) AS m FROM voc), bit AS (SELECT term, 8 * k + j AS i, (xb >> j) & 1 AS on_ FROM (SELECT term, k, {_BYTE} AS xb FROM (SELECT *, unnest(range(8)) AS k FROM w)), (SELECT unnest(range(8)) AS j)), s AS (SELECT doc_id, i, sum(CASE WHEN on_ = 1 THEN tf ELSE -tf END) AS s FROM tf JOIN bit USING (term) GROUP BY ALL), h AS (SELECT doc_id, sum(CASE WHEN s >= 0 THEN 1::HUGEINT << i::INT ELSE 0 END) AS h FROM s GROUP BY doc_id), fp AS (SELECT doc_id, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS fingerprint FROM h)"
+
+
+@query(f"{_SIM} SELECT doc_id, fingerprint FROM fp")
 def simhash_fingerprints(s: SparkSession, d: str) -> DataFrame:
     return V.simhash(_occ(s, d))
 
 
-@query()
+@query(f"{_SIM}, r AS (SELECT fingerprint, min(doc_id) AS id FROM fp GROUP BY fingerprint) SELECT a.id AS a, b.id AS b, bit_count(xor(a.fingerprint, b.fingerprint))::INT AS distance FROM r a, r b WHERE a.id < b.id AND bit_count(xor(a.fingerprint, b.fingerprint)) <= 3")
 def simhash_pairs(s: SparkSession, d: str) -> DataFrame:
     return V.near_fingerprints(V.simhash(_occ(s, d)))
 
 
+@query(f"{_SIM} SELECT doc_id, min(doc_id) OVER (PARTITION BY fingerprint) AS representative FROM fp")
+def simhash_members(s: SparkSession, d: str) -> DataFrame:
+    return V.fingerprint_members(V.simhash(_occ(s, d)))
+
+
 @query("WITH t AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '\\p{L}+')) AS a, list_distinct(regexp_extract_all(lower(title), '\\p{L}+')) AS b FROM documents WHERE text IS NOT NULL AND title IS NOT NULL) SELECT doc_id, round(CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b))::double / (len(a) + len(b) - len(list_intersect(a, b))) END, 6) AS jaccard FROM t")
 def title_jaccard(s: SparkSession, d: str) -> DataFrame:
     a, b = F.array_distinct(T.simple_tokens(F.lower(F.col("text")))), F.array_distinct(T.simple_tokens(F.lower(F.col("title"))))
@@ -230,18 +247,33 @@ def l2_norms(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "embeddings").select("vec_id", r6(M.norm(F.col("embedding"))).alias("norm"))
 
 
-@query(
-    "WITH f AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos, count(*) OVER () AS n FROM embeddings), t AS (SELECT * FROM f WHERE pos >= round_even(n / 5.0::double, 0)), x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS p FROM t), c AS (SELECT label, list(v ORDER BY p) AS c FROM (SELECT label, p, avg(x) AS v FROM x GROUP BY label, p) GROUP BY label), sc AS (SELECT f.vec_id, c.label, list_dot_product(f.embedding::double[], c.c) / (sqrt(list_dot_product(f.embedding::double[], f.embedding::double[])) * sqrt(list_dot_product(c.c, c.c))) AS s FROM f, c WHERE f.pos < round_even(n / 5.0::double, 0)) SELECT vec_id, label, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS r FROM sc) WHERE r = 1"
-)
-def nearest_centroid_cv(s: SparkSession, d: str) -> DataFrame:
+_FOLDS = "f AS (SELECT *, len([i for i in range(1, 5) if round_even(i * n / 5.0::double, 0) <= pos]) AS fold FROM (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos, count(*) OVER () AS n FROM embeddings))"
+_CV = f"WITH {_FOLDS}, k AS (SELECT unnest(range(5)) AS k), x AS (SELECT k, label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS p FROM f, k WHERE fold != k), c AS (SELECT k, label, list(v ORDER BY p) AS c FROM (SELECT k, label, p, avg(x) AS v FROM x GROUP BY ALL) GROUP BY k, label), sc AS (SELECT f.vec_id, f.fold, f.label AS actual, c.label, list_dot_product(f.embedding::double[], c.c) / (sqrt(list_dot_product(f.embedding::double[], f.embedding::double[])) * sqrt(list_dot_product(c.c, c.c))) AS s FROM f JOIN c ON c.k = f.fold), b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, label) AS r FROM sc)"
+
+
+def _centroid_cv(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "embeddings")
-    x = e.join(M.cv_folds(e, "vec_id", 5), "vec_id")
-    return M.nearest_centroid(x, "label", "embedding", "vec_id", F.col("fold") > 0).withColumn("score", r6("score"))
+
+    def predict(train: DataFrame, test: DataFrame) -> DataFrame:
+        x = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+        return M.nearest_centroid(x, "label", "embedding", "vec_id", F.col("is_train")).withColumnRenamed("label", "predicted")
+
+    return E.cross_validated(e, "vec_id", 5, predict, "label")
+
+
+@query(f"{_CV} SELECT fold, actual, label AS predicted, count(*) AS n FROM b WHERE r = 1 GROUP BY ALL")
+def nearest_centroid_cv(s: SparkSession, d: str) -> DataFrame:
+    return _centroid_cv(s, d).withColumn("fold", F.col("fold").cast("bigint"))
+
+
+@query(f"{_CV}, a AS (SELECT fold, avg(CASE WHEN actual = label THEN 1.0::double ELSE 0.0::double END) AS acc FROM b WHERE r = 1 GROUP BY fold) SELECT round(avg(acc), 6) AS mean, round(stddev_pop(acc), 6) AS sd, count(*) AS n_folds FROM a")
+def nearest_centroid_cv_summary(s: SparkSession, d: str) -> DataFrame:
+    return E.fold_summary(_centroid_cv(s, d)).select(r6("mean").alias("mean"), r6("sd").alias("sd"), "n_folds")
 
 
 @query("SELECT vec_id, CAST(len([i for i in range(1, 5) if round_even(i * n / 4.0::double, 0) <= pos]) AS INT) AS fold FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos, count(*) OVER () AS n FROM embeddings)")
 def cv_split(s: SparkSession, d: str) -> DataFrame:
-    return M.cv_folds(table(s, d, "embeddings"), "vec_id", 4)
+    return E.folds(table(s, d, "embeddings"), "vec_id", 4)
 
 
 @query("SELECT quality, count(*) AS n, round(count(*)::double / sum(count(*)) OVER (), 6) AS score FROM labels WHERE quality IS NOT NULL GROUP BY quality")
@@ -258,7 +290,17 @@ def naive_bayes_titles(s: SparkSession, d: str) -> DataFrame:
     return M.naive_bayes(x, x.select("row", "feature")).select("row", "label", r6("score", 4).alias("score"))
 
 
-@query()
+def _kmeans_sql(rounds: int) -> str:
+    dot = "list_dot_product({}, {})"
+    q = "WITH p AS MATERIALIZED (SELECT vec_id, [x / sqrt(list_dot_product(e, e)) for x in e] AS x FROM (SELECT vec_id, embedding::double[] AS e FROM embeddings) WHERE list_dot_product(e, e) > 0), c0 AS MATERIALIZED (SELECT vec_id AS cluster, x AS c FROM p ORDER BY vec_id LIMIT 10)"
+    for i in range(rounds):
+        d = dot.format("x", "c")
+        q += f", a{i} AS MATERIALIZED (SELECT vec_id, x, cluster, s FROM (SELECT vec_id, x, cluster, {d} AS s, row_number() OVER (PARTITION BY vec_id ORDER BY round({d}, 9) DESC, cluster) AS r FROM p, c{i}) WHERE r = 1)"
+        q += f", m{i} AS (SELECT cluster, list(v ORDER BY k) AS m FROM (SELECT cluster, k, avg(v) AS v FROM (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM a{i}) GROUP BY ALL) GROUP BY cluster), c{i + 1} AS MATERIALIZED (SELECT cluster, [v / sqrt(list_dot_product(m, m)) for v in m] AS c FROM m{i})"
+    return q + f" SELECT vec_id, cluster, round(s, 6) AS score FROM a{rounds - 1}"
+
+
+@query(_kmeans_sql(10))
 def kmeans_fixed(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "embeddings")
     seeds = e.orderBy("vec_id").limit(10).select(F.col("vec_id").alias("cluster"), F.col("embedding").alias("c"))
@@ -299,29 +341,29 @@ def block_hash_counts(s: SparkSession, d: str) -> DataFrame:
     return x.groupBy("hash").agg(F.count("*").alias("n_docs")).where("n_docs >= 5")
 
 
-@query("SELECT DISTINCT domainname FROM (SELECT domainname FROM (SELECT domainname, max(arrived) AS m FROM written_docs WHERE domainname IS NOT NULL GROUP BY 1 ORDER BY m DESC, domainname LIMIT 20) UNION ALL SELECT domainname FROM (SELECT domainname, count(*) AS n FROM written_docs WHERE domainname IS NOT NULL GROUP BY 1 ORDER BY n DESC, domainname LIMIT 20))")
+@query("SELECT DISTINCT domainname FROM (SELECT domainname FROM (SELECT domainname, max(arrived) AS m FROM written_docs WHERE domainname IS NOT NULL GROUP BY 1 ORDER BY m DESC, domainname LIMIT 3000) UNION ALL SELECT domainname FROM (SELECT domainname, count(*) AS n FROM written_docs WHERE domainname IS NOT NULL GROUP BY 1 ORDER BY n DESC, domainname LIMIT 3000))")
 def top_domains(s: SparkSession, d: str) -> DataFrame:
     g = table(s, d, "written_docs").where("domainname is not null").groupBy("domainname").agg(F.max("arrived").alias("m"), F.count("*").alias("n"))
-    return g.orderBy(F.desc("m"), "domainname").limit(20).select("domainname").union(g.orderBy(F.desc("n"), "domainname").limit(20).select("domainname")).distinct()
+    return g.orderBy(F.desc("m"), "domainname").limit(3000).select("domainname").union(g.orderBy(F.desc("n"), "domainname").limit(3000).select("domainname")).distinct()
 
 
 @query(
-    "WITH l AS (SELECT urlkey, max(rev) AS latest FROM written_docs WHERE urlkey IS NOT NULL GROUP BY urlkey), x AS (SELECT DISTINCT d.domainname, d.docid, d.guid, d.arrived, l.latest, len(t.hashcodes) AS blocks FROM written_docs d JOIN text_blocks t ON d.guid = t.docguid JOIN l ON l.urlkey = d.urlkey WHERE d.domainname IS NOT NULL) SELECT domainname, docid, latest, blocks FROM (SELECT *, row_number() OVER (PARTITION BY domainname ORDER BY arrived DESC, docid, blocks) AS r FROM x) WHERE r <= 100"
+    "WITH l AS (SELECT urlkey, arg_max(rev, {'a': arrived, 'r': rev}) AS latest FROM written_docs WHERE urlkey IS NOT NULL AND rev IS NOT NULL GROUP BY urlkey), x AS (SELECT DISTINCT d.domainname, d.docid, d.guid, d.arrived, l.latest, len(t.hashcodes) AS blocks FROM written_docs d JOIN text_blocks t ON d.guid = t.docguid JOIN l ON l.urlkey = d.urlkey WHERE d.domainname IS NOT NULL) SELECT domainname, docid, latest, blocks FROM (SELECT *, row_number() OVER (PARTITION BY domainname ORDER BY arrived DESC, docid, blocks) AS r FROM x) WHERE r <= 10000"
 )
 def recent_docs(s: SparkSession, d: str) -> DataFrame:
     w = table(s, d, "written_docs")
-    latest = w.where("urlkey is not null").groupBy("urlkey").agg(F.max("rev").alias("latest"))
+    latest = w.where("urlkey is not null and rev is not null").groupBy("urlkey").agg(F.max_by("rev", F.struct("arrived", "rev")).alias("latest"))
     t = table(s, d, "text_blocks").select(F.col("docguid").alias("guid"), F.size("hashcodes").cast("bigint").alias("blocks"))
     x = w.where("domainname is not null").join(t, "guid").join(latest, "urlkey").select("domainname", "docid", "guid", "arrived", "latest", "blocks").distinct()
     r = F.row_number().over(Window.partitionBy("domainname").orderBy(F.desc("arrived"), "docid", "blocks"))
-    return x.withColumn("r", r).where("r <= 100").select("domainname", "docid", "latest", "blocks")
+    return x.withColumn("r", r).where("r <= 10000").select("domainname", "docid", "latest", "blocks")
 
 
-@query("SELECT siteid, hash FROM (SELECT DISTINCT siteid, hash, arrived, docid FROM written_docs WHERE hash IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY siteid ORDER BY arrived DESC, docid DESC) <= 50")
+@query("SELECT siteid, hash FROM (SELECT DISTINCT siteid, hash, arrived, docid FROM written_docs WHERE hash IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY siteid ORDER BY arrived DESC, docid DESC) <= 30000")
 def feed_history(s: SparkSession, d: str) -> DataFrame:
     x = table(s, d, "written_docs").where("hash is not null").select("siteid", "hash", "arrived", "docid").distinct()
     r = F.row_number().over(Window.partitionBy("siteid").orderBy(F.desc("arrived"), F.desc("docid")))
-    return x.withColumn("r", r).where("r <= 50").select("siteid", "hash")
+    return x.withColumn("r", r).where("r <= 30000").select("siteid", "hash")
 
 
 @query("SELECT itemid, md5(coalesce(title, '') || ' ' || coalesce(description, '') || ' ' || coalesce(pubdate, '')) AS item_hash FROM (SELECT *, row_number() OVER (PARTITION BY md5(coalesce(title, '') || ' ' || coalesce(description, '') || ' ' || coalesce(pubdate, '')) ORDER BY itemid) AS r FROM rss_items) WHERE r = 1")
@@ -342,9 +384,9 @@ def url_parts(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "written_docs").where("urlkey is not null").select("docid", *[c.alias(k) for k, c in p.items()])
 
 
-@query()
+@query("WITH s AS (SELECT lower(regexp_extract(urlkey, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#:]*)', 2)) AS host, list_filter(string_split(regexp_extract(urlkey, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x != '') AS segs, regexp_extract(urlkey, '\\?([^#]*)', 1) AS q FROM (SELECT DISTINCT docid, urlkey FROM written_docs) WHERE urlkey IS NOT NULL), k AS (SELECT host, segs[1:greatest(len(segs) - CASE WHEN q = '' THEN 1 ELSE 0 END, 0)] AS keep FROM s) SELECT host, prefix, count(*) AS n FROM (SELECT host, unnest(['/' || array_to_string(keep[1:i], '/') for i in range(0, len(keep) + 1)]) AS prefix FROM k) GROUP BY ALL")
 def url_tree_nodes(s: SparkSession, d: str) -> DataFrame:
-    return W.url_nodes(table(s, d, "written_docs").dropDuplicates(["docid"]), "urlkey")
+    return W.url_nodes(table(s, d, "written_docs").select("docid", "urlkey").distinct(), "urlkey")
 
 
 @query("SELECT docid, urlkey, CAST(row_number() OVER (PARTITION BY urlkey ORDER BY arrived, docid) AS INT) AS occurrence FROM (SELECT DISTINCT docid, urlkey, arrived FROM written_docs WHERE urlkey IS NOT NULL)")
@@ -402,7 +444,7 @@ def hops_from_source(s: SparkSession, d: str) -> DataFrame:
     return G.hops(e, src, 6).select(F.col("id").cast("bigint").alias("id"), F.col("depth"))
 
 
-@query()
+@query("WITH RECURSIVE w AS (SELECT DISTINCT docid, hash, urlkey FROM written_docs), e AS (SELECT DISTINCT a.docid AS x, b.docid AS y FROM w a JOIN w b ON a.hash = b.hash UNION SELECT a.docid, b.docid FROM w a JOIN w b ON a.urlkey = b.urlkey), r(id, y) AS (SELECT docid, docid FROM w UNION SELECT r.id, e.y FROM r JOIN e ON e.x = r.y) SELECT id, min(y) AS component FROM r GROUP BY id")
 def copy_components(s: SparkSession, d: str) -> DataFrame:
     w = table(s, d, "written_docs").select("docid", "hash", "urlkey").distinct()
     by = w.where("hash is not null").groupBy("hash").agg(F.min("docid").alias("m"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
+from lexiloom.operators import evaluation
 from lexiloom.operators import graph as G
 from lexiloom.operators import models as M
 from lexiloom.operators import vectors as V
@@ -62,7 +63,7 @@ def test_metrics_golden(spark):
 
 
 def test_cv(spark):
-    f = [r.fold for r in M.cv_folds(spark.range(10).toDF("id"), "id", 4).orderBy("id").collect()]
+    f = [r.fold for r in evaluation.folds(spark.range(10).toDF("id"), "id", 4).orderBy("id").collect()]
     assert f == [0, 0, 1, 1, 1, 2, 2, 2, 3, 3]
 
 
