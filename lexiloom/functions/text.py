@@ -86,3 +86,36 @@ def mime_class(c: Column) -> Column:
 def syllables(word: Column) -> Column:
     """Groups of vowels of a word, at least 1."""
     return F.greatest(F.size(F.regexp_extract_all(F.lower(word), F.lit("([aeiouy]+)"), F.lit(1))), F.lit(1))
+
+
+def with_offsets(tokens: Column, text: Column) -> Column:
+    """(token, start, end) of tokens that occur in the text in order; end is exclusive. Each is looked for behind the one before."""
+    zero = F.struct(F.array().cast("array<struct<token:string,start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, t: Column) -> Column:
+        start = F.locate_from(text, t, acc["at"] + 1) if hasattr(F, "locate_from") else F.call_function("locate", t, text, acc["at"] + 1)
+        s = (start - 1).cast("int")
+        e = (s + F.length(t)).cast("int")
+        return F.struct(F.concat(acc["out"], F.array(F.struct(t.alias("token"), s.alias("start"), e.alias("end")))).alias("out"), e.alias("at"))
+
+    return F.aggregate(tokens, zero, step, lambda acc: acc["out"])
+
+
+def without_surrogates(c: Column, sign: str = "?") -> Column:
+    """Characters beyond the basic plane replaced by a sign."""
+    return F.regexp_replace(c, r"[\x{10000}-\x{10FFFF}]", sign)
+
+
+def search_query(c: Column) -> Column:
+    """A search query in one normal form: quoted phrases and words, with or without + or -, in lower case, sorted, phrases quoted again."""
+    terms = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r'([+-]?"[^"]*"|[+-]?[^\s"]+)'), F.lit(1))
+    bare = F.transform(terms, lambda t: F.struct(F.regexp_extract(t, r"^([+-]?)", 1).alias("sign"), F.trim(F.regexp_replace(F.regexp_replace(t, r'^[+-]?"?|"$', ""), r"\s+", " ")).alias("t")))
+    kept = F.filter(bare, lambda b: b["t"] != "")
+    shown = F.transform(kept, lambda b: F.concat(b["sign"], F.when(b["t"].contains(" "), F.concat(F.lit('"'), b["t"], F.lit('"'))).otherwise(b["t"])))
+    return F.array_join(F.array_sort(F.array_distinct(shown)), " ")
+
+
+def sentences(c: Column) -> Column:
+    """Sentences of a text: they end at . ! ? or an ellipsis before a blank and a capital, digit or quote, or at a line end."""
+    parts = F.split(F.coalesce(c, F.lit("")), r"(?<=[.!?…][\"”»’)]{0,2})\s+(?=[\"“„«(]?[\p{Lu}\p{N}])|[\r\n]+")
+    return F.filter(F.transform(parts, F.trim), lambda s: s != "")

@@ -102,3 +102,10 @@ def fingerprint_members(fp: DataFrame, row: str = "doc_id") -> DataFrame:
     """row, representative: the smallest row of each fingerprint stands for all that have it in near_fingerprints."""
     rep = fp.groupBy("fingerprint").agg(F.min(row).alias("representative"))
     return fp.join(rep, "fingerprint").select(row, "representative")
+
+
+def best_forms(occ: DataFrame, row: str, pos: str, form: str) -> DataFrame:
+    """term, form: the most frequent spelling of every lower-case term; ties go to the one that is seen first (by row, then position)."""
+    c = occ.groupBy(F.lower(F.col(form)).alias("term"), F.col(form).alias("form")).agg(F.count("*").alias("n"), F.min(F.struct(row, pos)).alias("at"))
+    best = c.groupBy("term").agg(F.min_by("form", F.struct(-F.col("n"), F.col("at"))).alias("form"))
+    return best.select("term", "form")
