@@ -105,6 +105,6 @@ def block_features(blocks: DataFrame, row: str) -> DataFrame:
         {
             "words_ratio": F.lag("n_words").over(w) / F.greatest(F.col("n_words"), F.lit(1)),
             "density_ratio": F.lag("text_density").over(w) / F.greatest(F.col("text_density"), F.lit(1e-9)),
-            "rel_position": F.when(n > 1, (F.row_number().over(w) - 1) / (n - 1)).otherwise(0.0),
+            "rel_position": F.row_number().over(w) / n,
         }
     )
