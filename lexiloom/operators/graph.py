@@ -21,21 +21,19 @@ def pagerank(edges: DataFrame, rounds: int, damping: float = 0.85) -> DataFrame:
     share = F.col("w") / F.col("out")
     e = cut(edges.join(edges.groupBy("src").agg(F.sum("w").alias("out")), "src").select("src", "dst", share.alias("p")))
     r = v.withColumn("rank", F.lit(1.0 / n))
-    for i in range(rounds):
+    for _ in range(rounds):
         got = e.join(r, e.src == r.id).groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
-        r = v.join(got, v.id == got.dst, "left").select("id", F.coalesce("got", F.lit(0.0)).alias("got"))
+        r = cut(v.join(got, v.id == got.dst, "left").select("id", F.coalesce("got", F.lit(0.0)).alias("got")))  # read twice below
         lost = r.agg((1 - F.sum("got")).alias("lost"))
         r = r.join(F.broadcast(lost)).select("id", (damping * (F.col("got") + F.col("lost") / n) + (1 - damping) / n).alias("rank"))
-        if i % 5 == 4:
-            r = cut(r)
     return r
 
 
 def ranked(edges: DataFrame, sources: DataFrame | None = None, damping: float = 0.85, eps: float = 1e-5, most: int = 10_000) -> DataFrame:
     """id, rank, personalised to sources (id) or to all vertices: rounds until the ranks move by at most eps in all, or `most` rounds.
 
-    All weights must be positive. Mass that dead ends lose goes evenly to the sources, as do the jumps. Lineage is cut every fifth round,
-    when the change is measured.
+    All weights must be positive. Mass that dead ends lose goes evenly to the sources, as do the jumps. The change is measured every fifth
+    round.
     """
     v = vertices_of(edges)
     src = v if sources is None else sources.select("id").distinct().join(v, "id", "left_semi")
@@ -46,13 +44,12 @@ def ranked(edges: DataFrame, sources: DataFrame | None = None, damping: float =
     for i in range(most):
         got = e.join(r, e.src == r.id).groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
         new = v.join(r.select("id", F.col("rank").alias("was")), "id").join(got, v.id == got.dst, "left").select("id", "is_source", "was", F.coalesce("got", F.lit(0.0)).alias("got"))
+        new = cut(new)  # read twice below
         lost = new.agg(F.greatest(F.lit(0.0), 1 - F.sum("got")).alias("lost"))
         new = new.join(F.broadcast(lost)).withColumn("got", F.col("got") + F.col("is_source") * F.when(F.col("lost") >= 1e-6, F.col("lost") / n).otherwise(0.0))
         new = new.select("id", "is_source", "was", (damping * F.col("got") + F.col("is_source") * (1 - damping) / n).alias("rank"))
-        if i % 5 == 4 or i == most - 1:
-            new = cut(new)
-            if new.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] <= eps:
-                return new.select("id", "rank")
+        if i % 5 == 4 and new.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] <= eps:
+            return new.select("id", "rank")
         r = new.drop("was")
     return r.select("id", "rank")
 

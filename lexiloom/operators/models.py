@@ -83,7 +83,7 @@ def centroids(rows: DataFrame, group: str, vec: str, kind: str = "avg") -> DataF
 def unit_rows(rows: DataFrame, vec: str) -> DataFrame:
     """rows whose vector is scaled to length 1; those of length 0 or without a vector go."""
     x = rows.withColumn("_n", norm(F.col(vec))).where("_n > 0")
-    return x.withColumn(vec, F.transform(F.col(vec), lambda v: v.cast("double") / F.col("_n"))).drop("_n")
+    return x.withColumn(vec, F.transform(F.col(vec), lambda v: F.try_divide(v.cast("double"), F.col("_n")))).drop("_n")
 
 
 def centroid_table(rows: DataFrame, group: str, vec: str, kind: str = "avg", order: str | None = None) -> DataFrame:

@@ -95,6 +95,10 @@ def query_params(url: Column) -> Column:
     return F.transform(keys, lambda k: F.struct(k.alias("k"), F.array_join(F.array_sort(F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])), ",").alias("v")))
 
 
+def _named(names: tuple[str, ...]):
+    return lambda p: p["k"].isin(*names)
+
+
 def normal_url(url: Column, mode: str = "basic", rules: list[tuple[str, list[str]]] | None = None, title: Column | None = None) -> Column:
     """An address in one form: scheme://host:port, decoded path without empty parts, sorted parameters, no fragment.
 
@@ -115,7 +119,7 @@ def normal_url(url: Column, mode: str = "basic", rules: list[tuple[str, list[str
     elif mode == "heuristics":
         kept, every = F.filter(params, lambda p: F.lit(False)), params
         for pattern, names in reversed(rules or []):
-            mine = F.filter(every, lambda p, names=names: p["k"].isin(names))
+            mine = F.filter(every, _named(tuple(names)))
             kept = F.when(u.rlike(pattern) & (F.size(mine) == len(set(names))), mine).otherwise(kept)
         params = kept
     if title is not None:

@@ -140,7 +140,8 @@ def write_corpus_xml(docs: DataFrame, path: str, compressed: bool = True) -> Non
 
 def document_html(name: Column, text: Column, annotations: Column) -> Column:
     """A page that shows the text with every annotation's span marked by its type, spans in order of their start, outermost first."""
-    cut = F.array_sort(F.filter(annotations, lambda a: a["spanend"] >= a["spanstart"]))
+    spans = F.transform(F.filter(annotations, lambda a: a["spanend"] >= a["spanstart"]), lambda a: F.struct(a["spanstart"].alias("spanstart"), (-a["spanend"]).alias("_"), a["spanend"].alias("spanend"), a["type"].alias("type")))
+    cut = F.array_sort(spans)
     marks = F.transform(cut, lambda a: F.concat(F.lit('<span class="'), _xml(a["type"]), F.lit('">'), _xml(F.substring(text, a["spanstart"] + 1, a["spanend"] - a["spanstart"] + 1)), F.lit("</span>")))
     return F.concat(F.lit("<html><head><title>"), _xml(name), F.lit("</title></head><body>"), F.when(F.size(marks) > 0, F.array_join(marks, "\n")).otherwise(_xml(text)), F.lit("</body></html>"))
 
