@@ -537,21 +537,27 @@ def url_tree_labels(s: SparkSession, d: str) -> DataFrame:
     return W.tree_votes(first, b)
 
 
+def _coded(s: SparkSession, d: str) -> DataFrame:
+    """documents with lang as a code, whatever its spelling (code, region or name); null where it means none."""
+    from ..functions import languages as L
+
+    c = F.lower(F.regexp_extract(F.coalesce("lang", F.lit("")), r"^\s*([A-Za-z]{2})(?:[-_].*)?\s*$", 1))
+    return table(s, d, "documents").withColumn("lang", F.coalesce(F.when(c != "", c), L.language_code(F.col("lang"))))
+
+
 @query()
 def language_profiles(s: SparkSession, d: str) -> DataFrame:
     from ..operators import langid
 
-    docs = table(s, d, "documents").where("lang is null or length(lang) = 2")
-    return langid.profiles(docs.withColumn("lang", F.lower("lang")), "lang", "text")
+    return langid.profiles(_coded(s, d), "lang", "text")
 
 
 @query()
 def language_by_rank(s: SparkSession, d: str) -> DataFrame:
     from ..operators import langid
 
-    docs = table(s, d, "documents")
-    known = docs.where("length(lang) = 2").withColumn("lang", F.lower("lang"))
-    return langid.detect(docs.select("doc_id", "text"), langid.profiles(known, "lang", "text"), "doc_id", "text")
+    docs = _coded(s, d)
+    return langid.detect(docs.select("doc_id", "text"), langid.profiles(docs, "lang", "text"), "doc_id", "text")
 
 
 @query()
