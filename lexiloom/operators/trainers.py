@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -21,14 +21,13 @@ def maxent(train: DataFrame, rounds: int = 50, cut_off: int = 0) -> DataFrame:
     lam = cut(obs.withColumn("lam", F.lit(0.0)))
     rf = x.select("row", "feature")
     labels = lam.select("label").distinct()
-    for i in range(rounds):
+    for _ in range(rounds):
         s = rf.join(lam, "feature").groupBy("row", "label").agg(F.sum("lam").alias("s"))
         grid = rf.select("row").distinct().join(F.broadcast(labels)).join(s, ["row", "label"], "left").select("row", "label", F.exp(F.coalesce("s", F.lit(0.0))).alias("e"))
-        p = grid.join(grid.groupBy("row").agg(F.sum("e").alias("z")), "row").select("row", "label", (F.col("e") / F.col("z")).alias("p"))
+        p = grid.select("row", "label", (F.col("e") / F.sum("e").over(Window.partitionBy("row"))).alias("p"))  # a row's labels
         exp = rf.join(p, "row").groupBy("label", "feature").agg(F.sum("p").alias("exp"))
         lam = lam.join(exp, ["label", "feature"]).select("label", "feature", "obs", (F.col("lam") + F.log(F.col("obs") / F.col("exp")) / big).alias("lam"))
-        if i % 5 == 4 or i == rounds - 1:
-            lam = cut(lam)
+        lam = cut(lam)  # read twice in the next round
     return lam.select("label", "feature", "lam")
 
 
