@@ -1,5 +1,6 @@
 """The training-data operators on small tables: hand-made cases, brute force and defined results."""
 
+import itertools
 import random
 
 import pytest
@@ -45,6 +46,25 @@ def test_garbled_lines(spark):
     assert [r.repaired for r in fixed] == [clean]
 
 
+def test_words_beyond_the_vocabulary_count(spark):
+    words = ["".join(x) for x in itertools.islice(itertools.product("abcdefghiklmnoprstuvz", repeat=4), encoding.VOCABULARY + 1000)]
+    frequent = [w[:2] + "èč"[i % 2] + w[2:] for i, w in enumerate(words)]  # they fill the vocabulary
+    rows = [(i, " ".join(frequent[i::100])) for i in range(100) for _ in range(3)]
+    rows += [(200, "près règle siècle"), (201, "près règle siècle"), (202, "Titel\nprčs rčgle sičcle")]
+    got = {tuple(r) for r in encoding.garbled_lines(news(spark, rows), written(spark, [])).select("docid", "line_no").collect()}
+    assert got == {(202, 1)}
+
+
+def test_vocabulary_in_memory_does_not_change_lines(spark):
+    clean = ["die Behörde für ländliche Gebiete überprüfte die Brücke", "près de la forêt, l'été", "čas žena šola več", "городской совет решил"]
+    rows = [(i, "\n".join(clean[: 1 + i % 4])) for i in range(12)]
+    rows += [(None, "x\n" + clean[0].encode().decode("cp1252")), (20, clean[1].encode().decode("latin-1") + "\nünique Wörter"), (20, "prčs\nKme?ki")]
+    rows += [(21, clean[3].encode("cp1251").decode("koi8-r")), (22, None), (23, "")]
+    want, *others = ({tuple(r) for r in encoding.garbled_lines(news(spark, rows), written(spark, []), n).collect()} for n in (encoding.VOCABULARY, 1, 6))
+    assert {x[:2] for x in want} >= {(None, 1), (20, 0), (20, 1)}
+    assert others == [want, want]
+
+
 # ---- bodies
 def test_body_density():
     m = article.LineModel({}, -1.0)
