@@ -1,7 +1,7 @@
 """Main body of a page from its text blocks: composite text density over the blocks' DOM paths.
 
 Each non-blank line of a page is a block with (roughly right) annotations: a DOM path and the share of its characters inside links.
-A logistic model over the first and last words of a line, fitted on lines whose annotations are clear, gives the expected link
+A logistic model over the words of a line (first and last words one by one, all words of long lines by their mean), fitted on lines whose annotations are clear, gives the expected link
 share of every block, also where the annotation is missing or wrong. Reported paths are missing for a third of the blocks and the same for
 main text and furniture in many pages, so a block whose expected share contradicts its path is hung into the tree's main or side container.
 The composite text density of Sun, Song and Liao (2011) is then computed from characters, expected link characters and tags for every
@@ -63,41 +63,46 @@ def mended_lines(text: str | None) -> list[tuple[int, str]]:
     return lines if not text or text.isascii() else [(p, x if x.isascii() else quick_repair(x)) for p, x in lines]
 
 
-def features(line: str) -> list[str]:
-    """The model's features of one line: its first and last words, the words of short lines, its length and its end."""
+def features(line: str) -> tuple[list[str], list[str]]:
+    """The model's features of one line: its first and last words, the words of short lines, its length and its end; and all words of long lines."""
     s = line.strip()
-    n = len(s)
+    n, every = len(s), []
     if n > 2 * EDGE:
         a = _TOKEN.findall(_LEAD.sub("", fold(s[:EDGE])))[:-1]
         z = _TOKEN.findall(fold(s[-EDGE:]))[1:]
         words = set(a[:6]) | set(z[-6:])
+        every = s.lower().split()
     else:
         a = z = _TOKEN.findall(_TAIL.sub("", _LEAD.sub("", fold(s))))
         words = set(a)
     if not a or not z:
-        return ["nothing"]
+        return ["nothing"], every
     a, z = [("0" if t.isdigit() else t) for t in a[:2]], [("0" if t.isdigit() else t) for t in z[-2:]]
     out = ["b " + a[0], "b2 " + " ".join(a), "e " + z[-1], "e2 " + " ".join(z), "n %d" % min(9, n // 35), "w %d" % min(8, len(words))]
     out.extend("u " + ("0" if t.isdigit() else t) for t in words)
     if s[-1] in ".!?…”“»":
         out.append("stop")
-    return out
+    return out, every
 
 
 class LineModel:
-    """Log odds that a line is furniture, by its words; memoises whole lines."""
+    """Log odds that a line is furniture, by its words; memoises whole lines. every: weights of the words of long lines, of which the mean counts."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias, self.memo = weights, bias, {}
+    def __init__(self, weights: dict[str, float], bias: float, every: dict[str, float] | None = None):
+        self.weights, self.bias, self.every, self.memo = weights, bias, every or {}, {}
 
     def __getstate__(self):
-        return {"weights": self.weights, "bias": self.bias, "memo": {}}
+        return {"weights": self.weights, "bias": self.bias, "every": self.every, "memo": {}}
 
     def logit(self, line: str) -> float:
         v = self.memo.get(line)
         if v is None:
-            w = self.weights
-            v = max(-7.0, min(7.0, self.bias + sum([w.get(f, 0.0) for f in features(line)])))
+            w, mean = self.weights, self.every
+            found, every = features(line)
+            v = self.bias + sum([w.get(f, 0.0) for f in found])
+            if every and mean:
+                v += sum([mean[t] for t in every if t in mean]) / len(every)
+            v = max(-7.0, min(7.0, v))
             if len(line) < 200:
                 if len(self.memo) > MEMO:
                     self.memo.clear()
@@ -217,20 +222,38 @@ def body_mask(lines: list[tuple[int, str]], notes: list[dict] | None, model: Lin
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        x, y = [], []
+        x, every, y = [], [], []
         for text, notes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             lines = mended_lines(text)
             for (_, line), f in zip(lines, _aligned(lines, notes), strict=True):
                 if line.strip() and (label := weak_label(line, f)) is not None:
-                    x.append(features(line))
+                    found, words = features(line)
+                    x.append(found + ["i " + t for t in words])
+                    every.append(len(words))
                     y.append(label)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.string())), pa.array(y, pa.int8())], ["x", "y"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.string())), pa.array(every, pa.int32()), pa.array(y, pa.int8())], ["x", "every", "y"])
+
+
+def _logistic(code: np.ndarray, row: np.ndarray, value: np.ndarray, kinds: int, y: np.ndarray, rounds: int, given: np.ndarray | None = None) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights of the features, bias and log odds of the rows; given: log odds that stay, so only what they leave open is fitted, without bias."""
+    w, g2, bias = np.zeros(kinds), np.full(kinds, 1e-6), 0.0
+    start, norm = 0.0 if given is None else given, 1 / len(y)
+    z = np.zeros(len(y)) + start
+    for _ in range(rounds):
+        err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+        g = np.bincount(code, weights=value * err[row], minlength=kinds) * norm + 2e-5 * w
+        g2 += g * g
+        w -= 0.5 * g / np.sqrt(g2)
+        if given is None:
+            bias -= 0.5 * err.mean()
+        z = start + bias + np.bincount(row, weights=value * w[code], minlength=len(y))
+    return w, bias, z
 
 
 def fit_line_model(docs: DataFrame, fit_docs: int = FIT_DOCS, rounds: int = 60) -> LineModel:
     """Fits the line model on at most about fit_docs annotated documents; without any, every line counts as body."""
     sample = hash_sample(docs.select("docid", "text", "annotations"), "docid", fit_docs).where("annotations is not null and text is not null")
-    t = sample.select("text", "annotations").mapInArrow(_training_rows, "x array<string>, y byte").toArrow()
+    t = sample.select("text", "annotations").mapInArrow(_training_rows, "x array<string>, every int, y byte").toArrow()
     if not t.num_rows:
         return LineModel({}, -1.0)
     x = t.column("x").combine_chunks()
@@ -240,18 +263,14 @@ def fit_line_model(docs: DataFrame, fit_docs: int = FIT_DOCS, rounds: int = 60)
     freq = np.bincount(code, minlength=len(names))
     y = t.column("y").to_numpy().astype(float)
     row = np.repeat(np.arange(len(y)), counts)
+    every = t.column("every").to_numpy()
+    mean = np.arange(len(row)) >= (np.cumsum(counts) - every)[row]  # the last features of a row
     live = freq[code] >= 3
-    code, row = code[live], row[live]
-    w, g2, bias = np.zeros(len(names)), np.full(len(names), 1e-6), 0.0
-    norm = 1 / len(y)
-    for _ in range(rounds):
-        z = bias + np.bincount(row, weights=w[code], minlength=len(y))
-        err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        g = np.bincount(code, weights=err[row], minlength=len(names)) * norm + 2e-5 * w
-        g2 += g * g
-        w -= 0.5 * g / np.sqrt(g2)
-        bias -= 0.5 * err.mean()
-    return LineModel({n: round(float(v), 4) for n, v in zip(names, w, strict=True) if abs(v) > 0.02}, float(bias))
+    single, mean = live & ~mean, live & mean
+    w, bias, z = _logistic(code[single], row[single], np.ones(single.sum()), len(names), y, rounds)
+    w += _logistic(code[mean], row[mean], 1 / every[row[mean]], len(names), y, rounds, z)[0]
+    kept = {n: round(float(v), 4) for n, v in zip(names, w, strict=True) if abs(v) > 0.02}
+    return LineModel({n: v for n, v in kept.items() if not n.startswith("i ")}, float(bias), {n[2:]: v for n, v in kept.items() if n.startswith("i ")})
 
 
 def body_lines(docs: DataFrame, model: LineModel) -> DataFrame:

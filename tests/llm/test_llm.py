@@ -90,6 +90,18 @@ def test_subtree_selects_and_threshold_cuts():
     assert mask(["html/body/div/aside/a"] * 4) == [False] * 4
 
 
+def test_the_inside_of_long_lines_counts(spark):
+    edge = "the report of the week as it was told by all who were there at that time " * 3
+    body, side = edge + "the river rose and the council met in the school " * 4 + edge, edge + "accept all cookies and subscribe to the newsletter " * 4 + edge
+    side = side[: len(side) - len(edge)] + " " * (len(body) - len(side)) + side[len(side) - len(edge) :]
+    f = [{"domPath": "html/body/article/p", "linkToTextRatio": "0/1"}, {"domPath": "html/body/footer/p", "linkToTextRatio": "1/1"}]
+    rows = [(i, None, body + "\n" + side, None, [(0, len(body) - 1, "TextBlock", f[0]), (len(body) + 1, len(body) + len(side), "TextBlock", f[1])]) for i in range(20)]
+    m = article.fit_line_model(spark.createDataFrame(rows, NEWS))
+    assert m.logit(body) < -0.5 < 0.5 < m.logit(side)
+    assert m.logit(edge + edge + "accept all cookies and subscribe to the newsletter " * 4 + edge) > 0.5 > m.logit(edge + "met in the school " * 9 + edge)
+    assert article.features("a (7)")[1] == [] and article.features(body)[1] == body.split()
+
+
 def test_furniture_lines_edge_cases(spark):
     d = news(spark, [(1, None), (2, ""), (3, " \n\t"), (4, "word " * 200_000)]).withColumn("body", F.lit(1))
     got = article.furniture_lines(d).collect()
