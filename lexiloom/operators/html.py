@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -23,6 +24,8 @@ from pyspark.sql.types import StringType
 
 from .pages import INLINE, RAW, VOID
 
+#: Pages whose nodes, tokens or blocks are in memory at once.
+PAGES = 200
 NODE = "node_id int, parent_id int, last_id int, depth int, tag string, attrs map<string,string>, text string, path string, start int, end int, inner_start int, inner_end int"
 _NODE = pa.schema([("node_id", pa.int32()), ("parent_id", pa.int32()), ("last_id", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("path", pa.string()), *[(c, pa.int32()) for c in ("start", "end", "inner_start", "inner_end")]])
 
@@ -112,8 +115,8 @@ def nodes(pages: DataFrame, row: str, html: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 200):
-                b = whole.slice(start, 200)
+            for start in range(0, whole.num_rows, PAGES):
+                b = whole.slice(start, PAGES)
                 found = [nodes_of(h) for h in b.column(1).to_pylist()]
                 keys = b.column(0).take(pa.array([i for i, f in enumerate(found) for _ in f], pa.int64()))
                 flat = [n for f in found for n in f]
@@ -296,16 +299,88 @@ def tokens(pages: DataFrame, row: str, html: str) -> DataFrame:
     kind = dict(pages.dtypes)[row]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [tokens_of(h) for h in b.column(1).to_pylist()]
-            keys = b.column(0).take(pa.array([i for i, f in enumerate(found) for _ in f], pa.int64()))
-            flat = [(p, *t) for f in found for p, t in enumerate(f)]
-            cols = [pa.array([t[k] for t in flat], c) for k, c in enumerate((pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32()))]
-            yield pa.RecordBatch.from_arrays([keys, *cols], [row, "pos", "kind", "token", "normal", "start", "stops"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAGES):
+                b = whole.slice(at, PAGES)
+                found = [tokens_of(h) for h in b.column(1).to_pylist()]
+                keys = b.column(0).take(pa.array([i for i, f in enumerate(found) for _ in f], pa.int64()))
+                flat = [(p, *t) for f in found for p, t in enumerate(f)]
+                cols = [pa.array([t[k] for t in flat], c) for k, c in enumerate((pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays([keys, *cols], [row, "pos", "kind", "token", "normal", "start", "stops"])
 
     return pages.select(row, html).mapInArrow(run, f"{row} {kind}, pos int, kind string, token string, normal string, start int, stops int")
 
 
+def _upper(c: str) -> bool:
+    return unicodedata.category(c) == "Lu"
+
+
+def page_blocks_of(page: str | None) -> list[dict]:
+    """block_no (from 1), text and the features of FEATURES of the blocks of one page, as block_table has them."""
+    parts: list[list] = []  # words, linked, in p, in h, characters, capitals, capital starts, first, last, stops
+    now: list | None = None
+    ends: list[tuple[int, str]] = []
+    inside = {"a": 0, "p": 0, "h1": 0, "h2": 0, "h3": 0}
+    for n in nodes_of(page):
+        while ends and ends[-1][0] <= n["start"]:
+            tag = ends.pop()[1]
+            now = now if tag in INLINE else None
+            if tag in inside:
+                inside[tag] -= 1
+        tag = n["tag"]
+        if tag == "#text":
+            t = entities.unescape(n["text"])
+            words = [] if RAW.intersection(n["path"].split("/")) else _WORD.findall(t)
+            if not words:
+                continue
+            if now is None:
+                now = [[], 0, False, False, 0, 0, 0, n["start"] + t.find(words[0]), 0, 0]
+                parts.append(now)
+            capital = [w for w in words if w[0].isupper() and _upper(w[0])]
+            now[0] += words
+            now[1] += len(words) if inside["a"] else 0
+            now[2] |= inside["p"] > 0
+            now[3] |= inside["h1"] + inside["h2"] + inside["h3"] > 0
+            now[4] += sum(map(len, words))
+            now[5] += sum(all(map(_upper, w)) for w in capital)
+            now[6] += len(capital)
+            now[8] = max(now[8], n["start"] + t.rfind(words[-1]) + len(words[-1]))  # behind the last word there is no letter or digit
+            now[9] += t.count(".")
+        elif tag != "#comment":
+            now = now if tag in INLINE else None
+            if tag not in VOID:
+                ends.append((n["inner_end"], tag))
+                if tag in inside:
+                    inside[tag] += 1
+    out: list[dict] = []
+    words, density = 0.0, 0.0
+    for no, (text, linked, in_p, in_h, chars, caps, starts, first, last, stops) in enumerate(parts, 1):
+        n, wide = float(len(text)), last - first
+        lines = wide // 80
+        dense = n if lines <= 1 else n / (lines - 1)
+        f = (n, float(wide), min(1.0, linked / n), dense, chars / n, caps / n, starts / n, stops / n, words / n, density / dense, float(in_p), float(in_h), no / len(parts))
+        out.append({"block_no": no, "text": " ".join(text), **dict(zip(FEATURES, f))})
+        words, density = n, dense
+    return out
+
+
+def page_blocks(pages: DataFrame, row: str, html: str) -> DataFrame:
+    """row, blocks: one row a page that has blocks, with all its blocks (block_no, text, the features of FEATURES) in order; no shuffle."""
+    kind = dict(pages.dtypes)[row]
+    one = pa.struct([("block_no", pa.int32()), ("text", pa.string()), *[(f, pa.float64()) for f in FEATURES]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, PAGES):
+                b = whole.slice(start, PAGES)
+                found = [page_blocks_of(h) for h in b.column(1).to_pylist()]
+                have = [i for i, f in enumerate(found) if f]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(have, pa.int64())), pa.array([found[i] for i in have], pa.list_(one))], [row, "blocks"])
+
+    fields = ", ".join(f"{f}: double" for f in FEATURES)
+    return pages.select(row, html).mapInArrow(run, f"{row} {kind}, blocks array<struct<block_no: int, text: string, {fields}>>")
+
+
 def block_table(toks: DataFrame, row: str) -> DataFrame:
     """row, block_no (from 1), text and the features of FEATURES, from the tokens of pages.
 

@@ -104,5 +104,5 @@ def html_main_text(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def html_block_features(s: SparkSession, d: str) -> DataFrame:
-    f = H.block_table(H.tokens(_pages(s, d), "docid", "html"), "docid")
+    f = H.page_blocks(_pages(s, d), "docid", "html").selectExpr("docid", "inline(blocks)")
     return f.select("docid", "block_no", *[r6(c).alias(c) for c in H.FEATURES])
