@@ -294,8 +294,8 @@ def tokens_of(page: str | None) -> list[tuple[str, str, str, int, int]]:
     return out
 
 
-def tokens(pages: DataFrame, row: str, html: str) -> DataFrame:
-    """row, pos, kind, token, normal, start, stops of every token of a page."""
+def tokens(pages: DataFrame, row: str, html: str, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """row, pos, kind, token, normal, start, stops of every token of a page, or only of those of some kinds."""
     kind = dict(pages.dtypes)[row]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,9 +303,9 @@ def tokens(pages: DataFrame, row: str, html: str) -> DataFrame:
             for at in range(0, whole.num_rows, PAGES):
                 b = whole.slice(at, PAGES)
                 found = [tokens_of(h) for h in b.column(1).to_pylist()]
-                keys = b.column(0).take(pa.array([i for i, f in enumerate(found) for _ in f], pa.int64()))
-                flat = [(p, *t) for f in found for p, t in enumerate(f)]
-                cols = [pa.array([t[k] for t in flat], c) for k, c in enumerate((pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32()))]
+                flat = [(i, p, *t) for i, f in enumerate(found) for p, t in enumerate(f) if kinds is None or t[0] in kinds]
+                keys = b.column(0).take(pa.array([t[0] for t in flat], pa.int64()))
+                cols = [pa.array([t[k] for t in flat], c) for k, c in enumerate((pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32()), 1)]
                 yield pa.RecordBatch.from_arrays([keys, *cols], [row, "pos", "kind", "token", "normal", "start", "stops"])
 
     return pages.select(row, html).mapInArrow(run, f"{row} {kind}, pos int, kind string, token string, normal string, start int, stops int")

@@ -78,7 +78,7 @@ def html_edited(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH a AS ({_ANN}), d AS (SELECT DISTINCT docid FROM a), o AS (SELECT 'open' AS kind, count(*) * 5 AS n FROM d UNION ALL SELECT 'open', sum(len(string_split(path, '/')) - 2) FROM a), t AS (SELECT kind, CAST(sum(n) AS BIGINT) AS n FROM o GROUP BY kind) SELECT kind, n FROM t UNION ALL SELECT 'close', n FROM t")
 def html_tag_tokens(s: SparkSession, d: str) -> DataFrame:
-    return H.tokens(_pages(s, d), "docid", "html").where("kind in ('open', 'close')").groupBy("kind").agg(F.count("*").alias("n"))
+    return H.tokens(_pages(s, d), "docid", "html", ("open", "close")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH a AS ({_ANN}) SELECT docid, CAST(row_number() OVER (PARTITION BY docid ORDER BY k) - 1 AS INT) AS block_no, trim(regexp_replace(block, '{_BLANK}+', ' ', 'g')) AS text, path FROM a WHERE trim(regexp_replace(block, '{_BLANK}+', ' ', 'g')) != ''")

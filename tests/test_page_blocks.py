@@ -58,3 +58,14 @@ def test_blocks_of_pages_are_those_of_tokens(odd):
 
 def test_features_without_windows(spark):
     assert "Window" not in plan(spark, "html_block_features")
+
+
+def test_tokens_of_some_kinds(odd):
+    cols = ["page", "pos", "kind", "token"]
+    want = H.tokens(odd, "page", "html").where("kind in ('open', 'close')").select(*cols)
+    got = H.tokens(odd, "page", "html", ("open", "close")).select(*cols)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_tag_tokens_leave_words_in_python(spark):
+    assert "Filter kind" not in plan(spark, "html_tag_tokens")
