@@ -13,7 +13,7 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -440,7 +440,7 @@ def read_tree(text: str) -> list[dict]:
     return out
 
 
-def tree_class(tree: list[dict], names: tuple[str, ...] = CLASSES) -> Column:
+def tree_class(tree: list[dict], names: tuple[str, ...] = CLASSES, feature: Callable[[str], Column] = lambda f: F.col(f"`{f}`")) -> Column:
     """The class a tree gives to a row, as one nested CASE: the first child whose condition holds, level by level; Unknown if none does."""
     kids: dict = {}
     for n in tree:
@@ -449,7 +449,7 @@ def tree_class(tree: list[dict], names: tuple[str, ...] = CLASSES) -> Column:
     def value(parent) -> Column:
         out = None
         for n in kids.get(parent, []):
-            c = F.col(f"`{n['feature']}`")
+            c = feature(n["feature"])
             t = F.lit(n["threshold"])
             ok = {"<=": c <= t, ">=": c >= t, "<": c < t, ">": c > t, "=": c == t, "!=": c != t}[n["op"]]
             leaf = F.lit(names[n["cls"]] if n["cls"] < len(names) else "Unknown") if n["cls"] is not None else value(n["node_id"])
@@ -483,3 +483,20 @@ def main_text(classes: DataFrame, row: str) -> DataFrame:
     """row, text: the full-text blocks joined by blanks."""
     g = classes.where("cls = 'FullText'").groupBy(row).agg(F.array_sort(F.collect_list(F.struct("block_no", "text"))).alias("b"))
     return g.select(row, F.array_join(F.transform("b", lambda x: x["text"]), " ").alias("text"))
+
+
+def page_classes(pages: DataFrame, row: str, tree: str = SMALL_TREE) -> DataFrame:
+    """row, blocks: the blocks of each page of page_blocks as (block_no, text, cls), classified as by classified, without a shuffle."""
+    nodes = read_tree(tree)
+
+    def one(b: Column, i: Column) -> Column:
+        def feature(name: str) -> Column:
+            side, f = name.split(".", 1)
+            if side == "c":
+                return b[f]
+            other = F.get("blocks", i - 1 if side == "p" else i + 1)[f]
+            return F.coalesce(other, F.lit(1.0 if name == "n.RelPos" else 0.0))
+
+        return F.struct(b["block_no"].alias("block_no"), b["text"].alias("text"), tree_class(nodes, feature=feature).alias("cls"))
+
+    return pages.select(row, F.transform("blocks", one).alias("blocks"))

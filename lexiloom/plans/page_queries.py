@@ -92,8 +92,8 @@ def html_blocks(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def html_block_classes(s: SparkSession, d: str) -> DataFrame:
-    t = H.tokens(_pages(s, d), "docid", "html")
-    return H.classified(H.block_table(t, "docid"), "docid").groupBy("cls").agg(F.count("*").alias("n"))
+    c = H.page_classes(H.page_blocks(_pages(s, d), "docid", "html"), "docid")
+    return c.select(F.explode("blocks.cls").alias("cls")).groupBy("cls").agg(F.count("*").alias("n"))
 
 
 @query()

@@ -69,3 +69,14 @@ def test_tokens_of_some_kinds(odd):
 
 def test_tag_tokens_leave_words_in_python(spark):
     assert "Filter kind" not in plan(spark, "html_tag_tokens")
+
+
+def test_classes_of_pages_are_those_of_blocks(odd, spark):
+    tree = "p.Wrds <= 9\n|   n.RelPos >= 1: 1\n|   n.RelPos < 1: 2\np.Wrds > 9: 3\n"
+    b = H.block_table(H.tokens(odd, "page", "html"), "page")
+    pages = H.page_blocks(odd, "page", "html")
+    for t in (H.SMALL_TREE, tree):
+        want = H.classified(b, "page", t)
+        got = H.page_classes(pages, "page", t).selectExpr("page", "inline(blocks)")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "Window" not in plan(spark, "html_block_classes")
