@@ -500,3 +500,9 @@ def page_classes(pages: DataFrame, row: str, tree: str = SMALL_TREE) -> DataFram
         return F.struct(b["block_no"].alias("block_no"), b["text"].alias("text"), tree_class(nodes, feature=feature).alias("cls"))
 
     return pages.select(row, F.transform("blocks", one).alias("blocks"))
+
+
+def page_main_text(classes: DataFrame, row: str) -> DataFrame:
+    """row, text: the full-text blocks of each page of page_classes joined by blanks."""
+    full = F.filter("blocks", lambda b: b["cls"] == "FullText")
+    return classes.select(row, full.alias("b")).where(F.size("b") > 0).select(row, F.array_join(F.transform("b", lambda b: b["text"]), " ").alias("text"))

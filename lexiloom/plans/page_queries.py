@@ -98,8 +98,7 @@ def html_block_classes(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def html_main_text(s: SparkSession, d: str) -> DataFrame:
-    t = H.tokens(_pages(s, d), "docid", "html")
-    return H.main_text(H.classified(H.block_table(t, "docid"), "docid"), "docid")
+    return H.page_main_text(H.page_classes(H.page_blocks(_pages(s, d), "docid", "html"), "docid"), "docid")
 
 
 @query()

@@ -80,3 +80,10 @@ def test_classes_of_pages_are_those_of_blocks(odd, spark):
         got = H.page_classes(pages, "page", t).selectExpr("page", "inline(blocks)")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert "Window" not in plan(spark, "html_block_classes")
+
+
+def test_main_text_of_pages(odd, spark):
+    want = H.main_text(H.classified(H.block_table(H.tokens(odd, "page", "html"), "page"), "page"), "page")
+    got = H.page_main_text(H.page_classes(H.page_blocks(odd, "page", "html"), "page"), "page")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "Window" not in plan(spark, "html_main_text")
