@@ -5,11 +5,16 @@ A vector's absent elements are zero; null weights are dropped by every operation
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def mapped(v: DataFrame, f: Callable[[Column], Column], w: str = "w") -> DataFrame:
     """Applies f to every weight; elements for which it gives null go."""
@@ -45,28 +50,154 @@ def trimmed(v: DataFrame, n: int, share: float, row: str, term: str = "term", w:
     return x.withColumn(w, F.col(w) / F.sqrt(F.sum(F.col(w) * F.col(w)).over(Window.partitionBy(row)))).drop("_run", "_all", "_at")
 
 
+#: Rows of a task's share of the self-join, and rows of the blocks that are multiplied at once.
+GROUP, BLOCK = 12288, 1024
+#: Terms multiplied at once; a term in fewer of a block's rows than DENSE is scored by its pairs of rows.
+TERMS, DENSE = 1024, 16
+
+
+class _Rows:
+    """Rows of one side in blocks that share their common terms: per block, positions, and entries (term, row in the block, weight) by term."""
+
+    def __init__(self, pos: np.ndarray, at: np.ndarray, term: np.ndarray, w: np.ndarray, df: np.ndarray):
+        n = len(pos)
+        size = np.bincount(at, minlength=n)
+        order = np.lexsort((term, -df[term], at))
+        first = np.concatenate(([0], np.cumsum(size)[:-1]))
+        lead = [np.where(size > k, term[order][np.minimum(first + k, max(len(term) - 1, 0))], -1) for k in range(3)]
+        ranked = np.lexsort(lead[::-1])  # rows with the same most frequent terms stand together
+        new = np.empty(n, np.int64)
+        new[ranked] = np.arange(n)
+        at, pos = new[at], pos[ranked]
+        order = np.lexsort((term, at // BLOCK))
+        at, term, w = at[order], term[order], w[order]
+        ends = np.searchsorted(at // BLOCK, np.arange(-(-n // BLOCK) + 1))
+        self.blocks = []
+        for k in range(-(-n // BLOCK)):
+            part = slice(ends[k], ends[k + 1])
+            terms, start, count = np.unique(term[part], return_index=True, return_counts=True)
+            top = np.maximum.reduceat(np.abs(w[part]), start) if len(terms) else np.empty(0)
+            self.blocks.append({"pos": pos[k * BLOCK : (k + 1) * BLOCK], "term": term[part], "at": at[part] - k * BLOCK, "w": w[part], "terms": terms, "start": start, "count": count, "top": top})
+
+
+def _reach(a: dict, b: dict, n_terms: int) -> np.ndarray:
+    """The most that each row of a block can reach with any row of another: its weights times the greatest of the other's per term."""
+    top = np.zeros(n_terms)
+    top[b["terms"]] = b["top"]
+    return np.bincount(a["at"], np.abs(a["w"]) * top[a["term"]], len(a["pos"]))
+
+
+def _scores(a: dict, b: dict, threshold: float, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, dot product) of two blocks where it is greater than the threshold."""
+    low = threshold * (1 - 1e-9) - 1e-12
+    of_a, of_b = np.flatnonzero(_reach(a, b, n_terms) > low), np.flatnonzero(_reach(b, a, n_terms) > low)
+    if not len(of_a) or not len(of_b):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    out = np.zeros((len(of_a), len(of_b)))
+    _, i, j = np.intersect1d(a["terms"], b["terms"], assume_unique=True, return_indices=True)
+    dense = np.minimum(a["count"][i], b["count"][j]) >= DENSE
+    row_a, row_b = np.full(len(a["pos"]), -1), np.full(len(b["pos"]), -1)
+    row_a[of_a], row_b[of_b] = np.arange(len(of_a)), np.arange(len(of_b))
+    both, col = a["terms"][i][dense], np.full(n_terms, -1)
+    for k in range(0, len(both), TERMS):
+        col[:] = -1
+        col[both[k : k + TERMS]] = np.arange(len(both[k : k + TERMS]))
+        sides = []
+        for side, row, n in ((a, row_a, len(of_a)), (b, row_b, len(of_b))):
+            m = np.zeros((n, len(both[k : k + TERMS])))
+            here = (col[side["term"]] >= 0) & (row[side["at"]] >= 0)
+            m[row[side["at"][here]], col[side["term"][here]]] = side["w"][here]
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    flat = out.reshape(-1)
+    i, j = i[~dense], j[~dense]
+    many, few = (a["count"][i], b["count"][j]) if len(i) else (np.empty(0, np.int64), np.empty(0, np.int64))
+    pairs = many * few
+    part = np.concatenate(([0], np.flatnonzero(np.diff(np.cumsum(pairs) >> 20)) + 1, [len(i)]))
+    for lo, hi in zip(part[:-1], part[1:]):  # some million pairs of entries at a time
+        n = pairs[lo:hi]
+        of = np.repeat(np.arange(lo, hi), n)
+        no = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        x, y = a["start"][i[of]] + no // few[of], b["start"][j[of]] + no % few[of]
+        r, c = row_a[a["at"][x]], row_b[b["at"][y]]
+        ok = (r >= 0) & (c >= 0)
+        np.add.at(flat, r[ok] * len(of_b) + c[ok], (a["w"][x] * b["w"][y])[ok])
+    r, c = np.nonzero(out > threshold)
+    return of_a[r], of_b[c], out[r, c]
+
+
+def _shared(ids: pa.Array, group: np.ndarray, terms: pa.Array, ws: pa.Array, threshold: float) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    """(a, b, s) of the pairs of one task: rows of two groups, or of one with itself; ids stand in rising order."""
+    at = np.repeat(np.arange(len(ids)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+    names, term = np.unique(terms.flatten().to_numpy(), return_inverse=True)
+    w = ws.flatten().to_numpy()
+    df = np.bincount(term, minlength=len(names))
+    sides = []
+    for g in np.unique(group):
+        pos = np.flatnonzero(group == g)
+        own = group[at] == g
+        local = np.zeros(len(ids), np.int64)
+        local[pos] = np.arange(len(pos))
+        sides.append(_Rows(pos, local[at[own]], term[own], w[own], df).blocks)
+    same = len(sides) == 1
+    for k, x in enumerate(sides[0]):
+        for y in sides[0][k:] if same else sides[1]:
+            r, c, s = _scores(x, y, threshold, len(names))
+            p, q = x["pos"][r], y["pos"][c]
+            if x is y:
+                p, q, s = (v[p < q] for v in (p, q, s))
+            if len(s):
+                yield ids.take(pa.array(np.minimum(p, q))), ids.take(pa.array(np.maximum(p, q))), s
+
+
 def self_join(v: DataFrame, threshold: float, row: str, term: str = "term", w: str = "w", diagonal: bool = True) -> DataFrame:
-    """a, b, s: pairs of rows a <= b whose dot product is greater than the threshold > 0, by an inverted index with prefix filtering.
+    """a, b, s: pairs of rows a <= b whose dot product is greater than the threshold > 0.
 
-    Terms are ordered from rare to common. A row's prefix is what must be read before the rest alone, times the greatest weight any
-    row has of each term, can no longer exceed the threshold; only prefixes enter the index, so common terms hardly ever do. Pairs that
-    share a prefix term are then scored over all their terms. Equal rows are one node only if the caller makes them so.
+    Rows fall into groups of about GROUP, and each pair of groups is one task's: only vectors are shuffled, once for each group, never
+    pairs. In a task, rows with the same common terms form blocks. Of two blocks only the rows are scored whose weights, times the
+    greatest of the other block per term, exceed the threshold: terms of many rows by matrix products, others by their pairs of rows.
+    Equal rows are one node only if the caller makes them so.
     """
     if threshold <= 0:
         raise ValueError("a threshold above 0 is needed")
-    x = v.where(F.col(w) != 0).groupBy(row, term).agg(F.sum(w).alias("w"))
-    df = x.groupBy(term).agg(F.count("*").alias("df"), F.max(F.abs("w")).alias("top"))
-    x = x.join(df, term)
-    up = Window.partitionBy(row).orderBy(F.desc("df"), term).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("bound", F.sum(F.abs("w") * F.col("top")).over(up))
-    prefix = x.where(F.col("bound") > threshold).select(F.col(row).alias("a"), term)
-    pairs = prefix.join(prefix.withColumnRenamed("a", "b"), term).where("a < b").select("a", "b").distinct()
-    left, right = x.select(F.col(row).alias("a"), term, F.col("w").alias("x")), x.select(F.col(row).alias("b"), term, F.col("w").alias("y"))
-    s = pairs.join(left, "a").join(right, ["b", term]).groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("s"))
+    kind = dict(v.dtypes)[row]
+    x = v.where(F.col(w) != 0).groupBy(row, term).agg(F.sum(w).cast("double").alias("w"))
+    x = stored(x.where("w != 0").select(F.col(row).alias("row"), F.col(term).alias("term"), "w"), "vectors")
+    voc = stored(x.select("term").distinct().select("term", F.monotonically_increasing_id().alias("no")), "terms")
+    packed = x.join(voc, "term").groupBy("row").agg(F.collect_list(F.struct("no", "w")).alias("e"))
+    packed = stored(packed.select("row", F.col("e.no").alias("terms"), F.col("e.w").alias("ws")), "rows")
+    n = max(1, -(-packed.count() // GROUP))
+    side = packed.withColumn("g", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.least(k, F.col("g")) * n + F.greatest(k, F.col("g")))
+    dealt = side.withColumn("pair", F.explode(pair)).select("pair", "row", "g", "terms", "ws")
+    dealt = dealt.repartition(n * (n + 1) // 2, "pair").sortWithinPartitions("pair", "row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def score(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(parts).combine_chunks()
+            ids, group, terms, ws = (t.column(k).chunk(0) for k in range(1, 5))
+            for a, b, s in _shared(ids, group.to_numpy(), terms, ws, threshold):
+                for at in range(0, len(s), 1 << 18):
+                    yield pa.RecordBatch.from_arrays([a.slice(at, 1 << 18), b.slice(at, 1 << 18), pa.array(s[at : at + (1 << 18)])], ["a", "b", "s"])
+
+        parts: list[pa.RecordBatch] = []
+        for b in batches:
+            keys = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if parts and hi > lo and parts[0].column(0)[0].as_py() != keys[lo]:
+                    yield from score(parts)
+                    parts = []
+                if hi > lo:
+                    parts.append(b.slice(lo, hi - lo))
+        if parts:
+            yield from score(parts)
+
+    s = dealt.mapInArrow(run, f"a {kind}, b {kind}, s double")
     if diagonal:
-        own = x.groupBy(row).agg(F.sum(F.col("w") * F.col("w")).alias("s"))
-        s = s.unionByName(own.select(F.col(row).alias("a"), F.col(row).alias("b"), "s"))
-    return s.where(F.col("s") > threshold)
+        own = packed.select(F.col("row").alias("a"), F.col("row").alias("b"), F.aggregate("ws", F.lit(0.0), lambda t, y: t + y * y).alias("s"))
+        s = s.unionByName(own.where(F.col("s") > threshold))
+    return s
 
 
 def dot_with_rows(q: DataFrame, v: DataFrame, row: str, term: str = "term", w: str = "w", threshold: float | None = None) -> DataFrame:
