@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def trimmed(v: DataFrame, n: int, share: float, row: str, term: str = "term", w:
 
 
 #: Rows of a task's share of the self-join, and rows of the blocks that are multiplied at once.
-GROUP, BLOCK = 12288, 1024
+GROUP, BLOCK = 8192, 1024
 #: Terms multiplied at once; a term in fewer of a block's rows than DENSE is scored by its pairs of rows.
 TERMS, DENSE = 1024, 16
 
@@ -129,7 +131,8 @@ def _scores(a: dict, b: dict, threshold: float, n_terms: int) -> tuple[np.ndarra
 def _shared(ids: pa.Array, group: np.ndarray, terms: pa.Array, ws: pa.Array, threshold: float) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
     """(a, b, s) of the pairs of one task: rows of two groups, or of one with itself; ids stand in rising order."""
     at = np.repeat(np.arange(len(ids)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-    names, term = np.unique(terms.flatten().to_numpy(), return_inverse=True)
+    coded = terms.flatten().dictionary_encode()
+    names, term = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
     w = ws.flatten().to_numpy()
     df = np.bincount(term, minlength=len(names))
     sides = []
@@ -150,49 +153,48 @@ def _shared(ids: pa.Array, group: np.ndarray, terms: pa.Array, ws: pa.Array, thr
                 yield ids.take(pa.array(np.minimum(p, q))), ids.take(pa.array(np.maximum(p, q))), s
 
 
+def _read(uri: str, group: int) -> pa.Table:
+    """Rows of one file of the shared folder, with the group they are in."""
+    fs, path = pa.fs.FileSystem.from_uri(uri)
+    t = pq.read_table(path, filesystem=fs, columns=["row", "terms", "ws"])
+    return t.append_column("g", pa.array(np.full(t.num_rows, group)))
+
+
 def self_join(v: DataFrame, threshold: float, row: str, term: str = "term", w: str = "w", diagonal: bool = True) -> DataFrame:
     """a, b, s: pairs of rows a <= b whose dot product is greater than the threshold > 0.
 
-    Rows fall into groups of about GROUP, and each pair of groups is one task's: only vectors are shuffled, once for each group, never
-    pairs. In a task, rows with the same common terms form blocks. Of two blocks only the rows are scored whose weights, times the
+    Rows are written to the shared folder once, in groups of up to GROUP, and each pair of groups is one task's, which reads their
+    files there: neither pairs nor copies of vectors are shuffled. In a task, rows with the same common terms form blocks. Of two blocks only the rows are scored whose weights, times the
     greatest of the other block per term, exceed the threshold: terms of many rows by matrix products, others by their pairs of rows.
     Equal rows are one node only if the caller makes them so.
     """
     if threshold <= 0:
         raise ValueError("a threshold above 0 is needed")
     kind = dict(v.dtypes)[row]
-    x = v.where(F.col(w) != 0).groupBy(row, term).agg(F.sum(w).cast("double").alias("w"))
-    x = stored(x.where("w != 0").select(F.col(row).alias("row"), F.col(term).alias("term"), "w"), "vectors")
-    voc = stored(x.select("term").distinct().select("term", F.monotonically_increasing_id().alias("no")), "terms")
-    packed = x.join(voc, "term").groupBy("row").agg(F.collect_list(F.struct("no", "w")).alias("e"))
-    packed = stored(packed.select("row", F.col("e.no").alias("terms"), F.col("e.w").alias("ws")), "rows")
-    n = max(1, -(-packed.count() // GROUP))
-    side = packed.withColumn("g", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.least(k, F.col("g")) * n + F.greatest(k, F.col("g")))
-    dealt = side.withColumn("pair", F.explode(pair)).select("pair", "row", "g", "terms", "ws")
-    dealt = dealt.repartition(n * (n + 1) // 2, "pair").sortWithinPartitions("pair", "row")
+    x = v.where(F.col(w) != 0).groupBy(row, term).agg(F.sum(w).cast("double").alias("w")).where("w != 0")
+    packed = x.groupBy(F.col(row).alias("row")).agg(F.collect_list(F.struct(F.col(term).alias("term"), "w")).alias("e"))
+    packed = stored(packed.select("row", F.col("e.term").alias("terms"), F.col("e.w").alias("ws")), "rows", GROUP)
+    groups: list[list[str]] = []
+    room = 0
+    for f, n in sorted(map(tuple, packed.groupBy(F.input_file_name()).count().collect())):  # one row a file
+        if n > room:
+            groups.append([])
+            room = GROUP
+        groups[-1].append(f)
+        room -= n
+    pairs = [(groups[i], groups[j] if i != j else []) for i in range(len(groups)) for j in range(i, len(groups))]
+    sc = packed.sparkSession.sparkContext
+    dealt = packed.sparkSession.createDataFrame(sc.parallelize(pairs, max(1, len(pairs))), "one array<string>, other array<string>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def score(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = pa.Table.from_batches(parts).combine_chunks()
-            ids, group, terms, ws = (t.column(k).chunk(0) for k in range(1, 5))
+        for one, other in (r.values() for b in batches for r in b.to_pylist()):
+            t = pa.concat_tables([_read(f, g) for g, files in enumerate((one, other)) for f in files])
+            t = t.take(pc.sort_indices(t["row"])).combine_chunks()
+            ids, terms, ws, group = (t.column(k).chunk(0) for k in range(4))
             for a, b, s in _shared(ids, group.to_numpy(), terms, ws, threshold):
                 for at in range(0, len(s), 1 << 18):
                     yield pa.RecordBatch.from_arrays([a.slice(at, 1 << 18), b.slice(at, 1 << 18), pa.array(s[at : at + (1 << 18)])], ["a", "b", "s"])
 
-        parts: list[pa.RecordBatch] = []
-        for b in batches:
-            keys = b.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if parts and hi > lo and parts[0].column(0)[0].as_py() != keys[lo]:
-                    yield from score(parts)
-                    parts = []
-                if hi > lo:
-                    parts.append(b.slice(lo, hi - lo))
-        if parts:
-            yield from score(parts)
-
     s = dealt.mapInArrow(run, f"a {kind}, b {kind}, s double")
     if diagonal:
         own = packed.select(F.col("row").alias("a"), F.col("row").alias("b"), F.aggregate("ws", F.lit(0.0), lambda t, y: t + y * y).alias("s"))

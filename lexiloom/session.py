@@ -77,10 +77,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a Parquet table into the shared folder and reads it back: lineage is cut, later reads prune columns."""
+def stored(df: DataFrame, name: str, most: int = 0) -> DataFrame:
+    """Writes df as a Parquet table into the shared folder, with up to so many rows a file (0: any), and reads it back: lineage is cut, later reads prune columns."""
     path = os.path.join(shared_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", most).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
